@@ -24,6 +24,7 @@ from tillstar.functions.dates import standard_date  # noqa: E402
 from tillstar.operators import catalog as checks  # noqa: E402
 from tillstar.operators import duplicates as dup  # noqa: E402
 from tillstar.operators import gates, profile  # noqa: E402
+from tillstar.operators.joins import fits_broadcast  # noqa: E402
 from tillstar.plans import kpi, star  # noqa: E402
 from tillstar.sources import delimited, derived, sinks  # noqa: E402
 
@@ -72,8 +73,10 @@ def _on_fact(operator: Callable[[DataFrame], DataFrame]):
 
 def _on_priced(operator: Callable[[DataFrame], DataFrame]):
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        products = star.dim_product(derived.catalog(spark, folder))
-        priced = kpi.priced_sales(_fact(spark, folder), products)
+        catalog = derived.catalog(spark, folder)
+        priced = kpi.priced_sales(
+            _fact(spark, folder), star.dim_product(catalog), small_catalog=fits_broadcast(catalog)
+        )
         return _shown(operator(priced))
 
     return query
@@ -154,6 +157,12 @@ def required_not_blank(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def dup_conflict_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return dup.rows_of_conflicting_keys(
+        derived.sales(spark, folder), "transaction_id", sinks.staged(spark, "repeats")
+    )
+
+
 def missing_phones(sales: DataFrame) -> DataFrame:
     missing = profile.missing_phones(sales).agg(F.count(F.lit(1))).scalar()
     return sales.agg(F.count(F.lit(1)).alias("rows_read")).withColumn("missing", missing)
@@ -165,8 +174,13 @@ def dup_catalog_keys(catalog: DataFrame) -> DataFrame:
     return keys.agg(F.count(F.lit(1)).alias("keys")).withColumn("repeated_keys", repeated)
 
 
+def _stored_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact as a published table, for work that reads it more than once."""
+    return sinks.staged(spark, "fact")(_fact(spark, folder))
+
+
 def ri_orphans(spark: SparkSession, folder: str) -> DataFrame:
-    fact = _fact(spark, folder)
+    fact = _stored_fact(spark, folder)
     customers = star.dim_customer(derived.tagged_sales(spark, folder))
     return _stack(
         [
@@ -177,10 +191,18 @@ def ri_orphans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def star_enriched(spark: SparkSession, folder: str) -> DataFrame:
-    fact = _fact(spark, folder)
+    fact = _stored_fact(spark, folder)
     customers = star.one_per_customer(star.dim_customer(derived.tagged_sales(spark, folder)))
-    products = star.dim_product(derived.catalog(spark, folder))
-    return _shown(star.star_enriched(fact, products, customers, star.dim_date(fact)))
+    catalog = derived.catalog(spark, folder)
+    return _shown(
+        star.star_enriched(
+            fact,
+            star.dim_product(catalog),
+            customers,
+            star.dim_date(fact),
+            small_catalog=fits_broadcast(catalog),
+        )
+    )
 
 
 def union_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -192,25 +214,16 @@ def date_standardise(sales: DataFrame) -> DataFrame:
     return texts.withColumn("standard_date", standard_date(F.col("transaction_date")))
 
 
-def status_split(fact: DataFrame) -> DataFrame:
-    return _stack(
-        [
-            part.withColumn("split", F.lit(f"{status.lower()}_sales"))
-            for status, part in star.status_split(fact).items()
-        ]
-    )
-
-
 def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The gates of a run: stored distinct rows per source against the tables made of them."""
     tagged, catalog = derived.tagged_sales(spark, folder), derived.catalog(spark, folder)
-    contacts = star.valid_customers(tagged).distinct()
+    contacts = sinks.staged(spark, "contacts")(star.valid_customers(tagged).distinct())
+    sold = sinks.staged(spark, "sales")(star.distinct_sales(tagged))
     return _stack(
         [
             gates.reconcile_products(catalog, star.dim_product(catalog)),
-            gates.reconcile_tagged(contacts, star.dim_customer(tagged), "customers", SOURCES),
-            gates.reconcile_tagged(
-                star.distinct_sales(tagged), star.fact_sales(tagged), "sales", SOURCES
-            ),
+            gates.reconcile_tagged(contacts, star.hashed(contacts), "customers", SOURCES),
+            gates.reconcile_tagged(sold, star.flagged_sales(sold), "sales", SOURCES),
             gates.reconcile_rejects(tagged),
         ]
     )
@@ -268,9 +281,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dup_rows": _on_sales(lambda s: dup.rows_of_repeated_keys(s, "transaction_id")),
         "dup_comparison": _on_sales(lambda s: dup.compare_repeats(s, "transaction_id")),
         "dup_conflicts": _on_sales(lambda s: dup.conflicting_repeats(s, "transaction_id")),
-        "dup_conflict_rows": _on_sales(
-            lambda s: dup.rows_of_conflicting_keys(s, "transaction_id")
-        ),
+        "dup_conflict_rows": dup_conflict_rows,
         "shared_names": _on_sales(dup.shared_names),
         "shared_emails": _on_sales(dup.shared_emails),
         "customer_pairs": _on_sales(profile.customer_pairs),
@@ -310,7 +321,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_customer": _on_tagged(star.dim_customer),
         "dim_customer_deduped": _on_tagged(star.dim_customer_deduped),
         "fact_sales": lambda spark, folder: _shown(_fact(spark, folder)),
-        "status_split": _on_fact(status_split),
+        "status_split": _on_fact(star.labelled_split),
         "rejected_sales": _on_tagged(star.rejected_sales),
         "dim_date": _on_fact(star.dim_date),
         "reconcile_counts": reconcile_counts,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,14 +63,13 @@ def conflicting_repeats(df: DataFrame, key: str) -> DataFrame:
 
 
 def conflicting_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys of ``conflicting_repeats``, without the exact counts.
+    """Keys of ``conflicting_repeats`` and their rows, without the exact counts.
 
     A column takes several known values exactly where its smallest and largest
-    known values differ, which needs one pass and no distinct counting. The rows
-    are cut to the repeated keys beforehand.
+    known values differ, which needs one pass and no distinct counting. Best given
+    the rows of repeated keys only; a key with one row never conflicts.
     """
     others = [c for c in df.columns if c != key]
-    repeats = rows_of_repeated_keys(df, key)
     bounds = [F.min(c).alias(f"{c}_low") for c in others] + [
         F.max(c).alias(f"{c}_high") for c in others
     ]
@@ -76,15 +77,24 @@ def conflicting_keys(df: DataFrame, key: str) -> DataFrame:
         F.coalesce(F.col(f"{c}_low") != F.col(f"{c}_high"), F.lit(False)) for c in others
     )
     return (
-        repeats.groupBy(key)
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key)
         .agg(F.count(F.lit(1)).alias("cnt"), *bounds)
         .filter(differing)
         .select(key, "cnt")
     )
 
 
-def rows_of_conflicting_keys(df: DataFrame, key: str) -> DataFrame:
-    return keep_matching(df, conflicting_keys(df, key), key, "cnt")
+def rows_of_conflicting_keys(
+    df: DataFrame, key: str, stage: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
+    """Rows whose key conflicts.
+
+    The rows of repeated keys are needed three times. ``stage`` may store them
+    (see ``sinks.staged``), so that the full table is not read again for each.
+    """
+    repeats = stage(rows_of_repeated_keys(df, key))
+    return keep_matching(repeats, conflicting_keys(repeats, key), key, "cnt")
 
 
 def shared_values(df: DataFrame, column: str, owner: str, keep: list[str]) -> DataFrame:

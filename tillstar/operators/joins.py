@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 # A side is broadcast only when its measured text size is at most this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Bytes a value costs beside its text.
+ROW_OVERHEAD = 16
+
 # Rows of one key that a single task should handle at most.
 ROWS_PER_SLICE = 1_000_000
 
@@ -37,10 +40,8 @@ _WEIGHT = "__weight"
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Measure ``df`` with one distributed aggregate (one row comes back)."""
-    row_bytes = sum(
-        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns),
-        F.lit(0).cast("long"),
-    )
+    text = F.octet_length(F.concat_ws("", *df.columns)).cast("long")
+    row_bytes = text + F.lit(ROW_OVERHEAD * len(df.columns))
     measured = df.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).alias("size")).first()
     return measured["size"] <= limit
 

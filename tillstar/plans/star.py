@@ -15,6 +15,9 @@ from tillstar.operators.joins import join_dimension, join_spread
 
 SRC = schemas.SOURCE
 
+# The outcomes of a payment.
+STATUSES = ["Successful", "Failed"]
+
 
 def union_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
     """All transaction sources as one DataFrame, every row tagged with its source.
@@ -48,7 +51,10 @@ def valid_customers(sales: DataFrame) -> DataFrame:
     ).select(*schemas.CUSTOMER_REQUIRED, SRC)
 
 
-def _hashed(customers: DataFrame, secret: str | None, normalise_phone: bool) -> DataFrame:
+def hashed(
+    customers: DataFrame, secret: str | None = None, normalise_phone: bool = False
+) -> DataFrame:
+    """Customer columns of contact rows, with the contacts hashed."""
     return customers.select(
         "customer_id",
         "customer_name",
@@ -65,7 +71,7 @@ def dim_customer(
     A customer known to two sources appears twice, and an id with two contact
     sets appears once per set; see ``dim_customer_deduped``, ``one_per_customer``.
     """
-    return _hashed(valid_customers(sales).distinct(), secret, normalise_phone)
+    return hashed(valid_customers(sales).distinct(), secret, normalise_phone)
 
 
 def dim_customer_deduped(
@@ -73,7 +79,7 @@ def dim_customer_deduped(
 ) -> DataFrame:
     """Distinct contacts across all sources."""
     contacts = valid_customers(sales).drop(SRC).distinct()
-    return _hashed(contacts, secret, normalise_phone)
+    return hashed(contacts, secret, normalise_phone)
 
 
 def one_per_customer(customers: DataFrame) -> DataFrame:
@@ -148,10 +154,16 @@ def fact_sales(sales: DataFrame) -> DataFrame:
 
 def status_split(fact: DataFrame) -> dict[str, DataFrame]:
     """Successful and failed transactions apart. Repeated ids are two outcomes of one sale."""
-    return {
-        status: fact.filter(F.col("payment_status") == status)
-        for status in ("Successful", "Failed")
-    }
+    return {status: fact.filter(F.col("payment_status") == status) for status in STATUSES}
+
+
+def labelled_split(fact: DataFrame) -> DataFrame:
+    """Both parts of ``status_split`` in one pass, the part named in ``split``.
+
+    Partitioning a write by ``split`` stores the two tables side by side.
+    """
+    label = F.concat(F.lower("payment_status"), F.lit("_sales"))
+    return fact.filter(F.col("payment_status").isin(STATUSES)).withColumn("split", label)
 
 
 def dim_date(fact: DataFrame) -> DataFrame:

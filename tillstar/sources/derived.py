@@ -6,16 +6,42 @@ constants below are fixed values of that view.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstar import schemas
 
 SOURCES = ["retail1", "retail2"]
 
 
+@cache
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema in the file's footer, read once per session and path."""
+    return spark.read.parquet(path).schema
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
+
+
+def _use_all_cores(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread an input that has fewer splits than the session has cores.
+
+    One small file is one task, which would leave a machine idle through all the
+    map-side work. Inputs with enough splits are returned as they are, so nothing
+    is shuffled at scale. Hashing on a unique key keeps re-run tasks repeatable.
+    """
+    spark = df.sparkSession
+    cores = min(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
 
 
 def catalog(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,69 +53,49 @@ def catalog(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Column expressions of the view, faults included.
+_TRANSACTION = [
+    "l_orderkey * 10 + l_linenumber AS transaction_id",
+    "o_custkey AS customer_id",
+    "CASE WHEN o_custkey % 250 = 1 THEN 'Shared Name' ELSE c_name END AS customer_name",
+    "l_partkey AS product_id",
+    """CASE WHEN l_orderkey % 13 = 0 THEN NULL
+            WHEN l_orderkey % 101 = 0 THEN p_retailprice + 1
+            ELSE p_retailprice END AS price""",
+    "CASE WHEN l_orderkey % 29 = 0 THEN upper(p_name) ELSE p_name END AS product_name",
+    "p_type AS category",
+    "CASE WHEN l_orderkey % 3 = 0 THEN 'Online' ELSE 'Offline' END AS purchase_location",
+    "CASE WHEN l_orderkey % 211 = 0 THEN '  ' ELSE n_name END AS city",
+    """CASE WHEN l_orderkey % 5 <= 2 THEN date_format(CAST(l_shipdate AS date), 'yyyy-MM-dd')
+            WHEN l_orderkey % 5 = 3 THEN date_format(CAST(l_shipdate AS date), 'MM-dd-yyyy')
+            ELSE date_format(CAST(l_shipdate AS date), 'dd-MM-yyyy') END AS transaction_date""",
+    "CAST(CASE WHEN l_orderkey % 97 = 0 THEN -l_quantity ELSE l_quantity END AS int) AS quantity",
+    "l_returnflag AS payment_method",
+    """CAST(CAST(round(l_discount * 100) AS int)
+            * CASE WHEN l_orderkey % 89 = 0 THEN -1 ELSE 1 END AS double) AS discount""",
+    """CASE WHEN o_custkey % 41 = 0 THEN concat('user', o_custkey, '.example.com')
+            WHEN o_custkey % 300 = 7 THEN 'shared@example.com'
+            ELSE concat('user', o_custkey, '@example.com') END AS email""",
+    """CAST(CASE WHEN o_custkey % 37 = 0 THEN 600000000 + o_custkey
+                 ELSE 6000000000 + o_custkey END AS string) AS phone""",
+    "CASE WHEN l_linestatus = 'F' THEN 'FAILED' ELSE 'successful' END AS payment_status",
+    f"CASE WHEN l_orderkey % 2 = 0 THEN '{SOURCES[0]}' ELSE '{SOURCES[1]}' END AS {schemas.SOURCE}",
+]
+
+
 def tagged_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Both transaction sources with their tag."""
-    joined = (
-        _table(spark, folder, "lineitem")
-        .join(_table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(_table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    )
-    order, customer = F.col("l_orderkey"), F.col("o_custkey")
-
-    def every(key: Column, n: int, rest: int = 0) -> Column:
-        return key % n == rest
-
-    day = F.col("l_shipdate").cast("date")
-    layout = order % 5
-    return joined.select(
-        (order * 10 + F.col("l_linenumber")).alias("transaction_id"),
-        customer.alias("customer_id"),
-        F.when(every(customer, 250, 1), F.lit("Shared Name"))
-        .otherwise(F.col("c_name"))
-        .alias("customer_name"),
-        F.col("l_partkey").alias("product_id"),
-        F.when(every(order, 13), F.lit(None))
-        .when(every(order, 101), F.col("p_retailprice") + 1)
-        .otherwise(F.col("p_retailprice"))
-        .alias("price"),
-        F.when(every(order, 29), F.upper("p_name"))
-        .otherwise(F.col("p_name"))
-        .alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.when(every(order, 3), F.lit("Online")).otherwise(F.lit("Offline")).alias(
-            "purchase_location"
-        ),
-        F.when(every(order, 211), F.lit("  ")).otherwise(F.col("n_name")).alias("city"),
-        F.when(layout <= 2, F.date_format(day, "yyyy-MM-dd"))
-        .when(layout == 3, F.date_format(day, "MM-dd-yyyy"))
-        .otherwise(F.date_format(day, "dd-MM-yyyy"))
-        .alias("transaction_date"),
-        (F.col("l_quantity") * F.when(every(order, 97), F.lit(-1)).otherwise(F.lit(1)))
-        .cast("int")
-        .alias("quantity"),
-        F.col("l_returnflag").alias("payment_method"),
-        (
-            F.round(F.col("l_discount") * 100).cast("int")
-            * F.when(every(order, 89), F.lit(-1)).otherwise(F.lit(1))
-        )
-        .cast("double")
-        .alias("discount"),
-        F.when(every(customer, 41), F.concat(F.lit("user"), customer, F.lit(".example.com")))
-        .when(every(customer, 300, 7), F.lit("shared@example.com"))
-        .otherwise(F.concat(F.lit("user"), customer, F.lit("@example.com")))
-        .alias("email"),
-        F.when(every(customer, 37), F.lit(600_000_000) + customer)
-        .otherwise(F.lit(6_000_000_000) + customer)
-        .cast("string")
-        .alias("phone"),
-        F.when(F.col("l_linestatus") == "F", F.lit("FAILED"))
-        .otherwise(F.lit("successful"))
-        .alias("payment_status"),
-        F.when(every(order, 2), F.lit(SOURCES[0]))
-        .otherwise(F.lit(SOURCES[1]))
-        .alias(schemas.SOURCE),
+    """Both transaction sources with their tag.
+
+    The joins carry no hints: Spark broadcasts a side below its size threshold and
+    otherwise shuffles, splitting skewed partitions at run time.
+    """
+    lines = _use_all_cores(_table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
+    return (
+        lines.join(_table(spark, folder, "orders"), F.expr("l_orderkey = o_orderkey"))
+        .join(_table(spark, folder, "customer"), F.expr("o_custkey = c_custkey"))
+        .join(_table(spark, folder, "part"), F.expr("l_partkey = p_partkey"))
+        .join(_table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .selectExpr(*_TRANSACTION)
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +49,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tillstar/{name}-{uuid.uuid4().hex}"
 
 
+def staged(spark: SparkSession, name: str) -> Callable[[DataFrame], DataFrame]:
+    """A function that stores a DataFrame once in the scratch folder and reads it back."""
+    return lambda df: materialise(df, scratch_path(spark, name))
+
+
 def materialise(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` and read it back: the work behind it is not repeated after a loss."""
     df.write.mode("overwrite").parquet(path)
