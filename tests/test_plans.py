@@ -1,0 +1,90 @@
+"""Physical plans: what must and must not be in them."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+import __spark_entry__ as registered
+from tillstar import schemas
+from tillstar.operators import duplicates as dup
+from tillstar.operators import profile
+from tillstar.plans import star
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    """Transactions as one Parquet table, so that a plan is the operator's alone."""
+    from tillstar.sources import derived
+
+    derived.tagged_sales(spark, FOLDER).write.parquet(f"{tmp_path}/sales")
+    return spark.read.parquet(f"{tmp_path}/sales")
+
+
+def exchanges(df):
+    return len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning", plan(df)))
+
+
+def read_columns(df):
+    return re.findall(r"ReadSchema: struct<([^>]*)>", plan(df))
+
+
+@pytest.mark.parametrize("name", list(registered.queries()))
+def test_no_python_no_cross_join(spark, name):
+    text = plan(registered.queries()[name](spark, FOLDER))
+    for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
+        assert node not in text
+
+
+def test_fact_is_one_shuffle_over_its_own_columns(stored):
+    fact = star.fact_sales(stored)
+    assert exchanges(fact) == 1
+    [columns] = read_columns(fact)
+    assert not {"price", "product_name", "email", "phone"} & set(re.findall(r"(\w+):", columns))
+    assert "IsNotNull(transaction_id)" in plan(fact)
+
+
+def test_whole_table_profiles_do_not_shuffle_rows(stored):
+    sales = stored.select(*schemas.SALES.names)
+    for df in (
+        profile.null_profile_pct(sales),
+        profile.schema_report(sales),
+        profile.describe_columns(sales),
+        profile.email_validation(sales),
+        profile.distinct_profile(sales, approximate=True),
+    ):
+        assert exchanges(df) == 0
+        assert plan(df).count("FileScan") == 1
+
+
+def test_profiles_read_one_column(stored):
+    for df, column in (
+        (profile.email_validation(stored), "email"),
+        (profile.date_order_profile(stored), "transaction_date"),
+        (dup.repeated_keys(stored, "transaction_id"), "transaction_id"),
+    ):
+        assert [c.split(":")[0] for c in read_columns(df)] == [column]
+
+
+def test_duplicate_keys_are_counted_before_the_shuffle(stored):
+    df = dup.repeated_keys(stored, "transaction_id")
+    text = plan(df)
+    assert exchanges(df) == 1
+    assert text.index("partial_count") > text.index("Exchange hashpartitioning")
+
+
+def test_conflicts_need_no_expansion(stored):
+    assert "Expand" not in plan(dup.conflicting_keys(stored, "transaction_id"))
+
+
+def test_masking_is_a_projection(stored):
+    df = star.masked_contacts(stored)
+    assert "Exchange" not in plan(df)
+    assert "Project" in plan(df)

@@ -30,8 +30,9 @@ def read_text(
 ) -> DataFrame:
     """Every contract column as text, plus the lines that do not fit the contract.
 
-    Header names are checked against the contract by the reader. Set
-    ``multi_line`` for fields that contain line breaks; a file is then read by one
+    Header names are checked against the contract by the reader. Every column is
+    parsed whatever a query selects, else a line that does not split would be
+    noticed in some queries only. Set ``multi_line`` for fields that contain line breaks; a file is then read by one
     task, so such files should be many rather than large.
     """
     return (
@@ -40,6 +41,7 @@ def read_text(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", False)
+        .option("columnPruning", False)
         .option("multiLine", multi_line)
         .csv(path)
     )
