@@ -323,6 +323,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_sales": lambda spark, folder: _shown(_fact(spark, folder)),
         "status_split": _on_fact(star.labelled_split),
         "rejected_sales": _on_tagged(star.rejected_sales),
+        "run_findings": _on_tagged(gates.findings),
         "dim_date": _on_fact(star.dim_date),
         "reconcile_counts": reconcile_counts,
         # Indicators

@@ -578,6 +578,19 @@ FROM (SELECT product_id, count(*) AS n FROM catalog GROUP BY product_id)"""
         + """SELECT tagged.*, 'blank:city' AS reject_reason FROM tagged
 WHERE trim(city, ' ') = ''"""
     )
+    kept = "trim(city, ' ') <> ''"
+    day, month = (f"CAST(split_part(transaction_date, '-', {i}) AS INTEGER)" for i in (1, 2))
+    either = f"regexp_matches(transaction_date, '^[0-9][0-9]-') AND {day} <= 12 AND {month} <= 12"
+    q["run_findings"] = _with() + _union(
+        [
+            f"SELECT '{name}' AS finding, count(*) FILTER (WHERE {test}) AS row_count FROM tagged"
+            for name, test in [
+                ("rejected_rows", f"NOT ({kept})"),
+                ("unreadable_dates", "false"),
+                ("ambiguous_dates", f"{kept} AND {either}"),
+            ]
+        ]
+    )
     q["dim_date"] = (
         _with(FACT)
         + """, d AS (

@@ -19,6 +19,8 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "10000")
+        .config("spark.sql.debug.maxToStringFields", "1000")
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -66,6 +66,28 @@ def test_run(spark, rows, place, fmt):
     assert audit_lines(spark, target) == [("r1", "Succeeded")]
 
 
+def test_findings_and_rejects_are_kept(spark, rows, place):
+    paths, catalog, target = place(
+        PRODUCTS,
+        one=[{}, {"city": "  "}, {"transaction_date": "03-04-2024"}],
+        two=[{}, {"transaction_date": "abc"}, {"quantity": "two"}],
+    )
+    pipeline.run(spark, paths, catalog, target, run_id="r1")
+    assert rows(spark.read.parquet(f"{target}/run_findings"), "finding", "row_count") == [
+        ("ambiguous_dates", 1),
+        ("rejected_rows", 2),
+        ("unreadable_dates", 1),
+    ]
+    rejected = spark.read.parquet(f"{target}/rejected_sales")
+    assert rows(rejected, "src", "reject_reason") == [("one", "blank:city"), ("two", "null:quantity")]
+
+
+def test_strict_run_refuses_lost_values(spark, place):
+    paths, catalog, target = place(PRODUCTS, one=[{}], two=[{}, {"quantity": "two"}])
+    with pytest.raises(gates.GateFailure, match="values lost in quantity: expected 0, found 1"):
+        pipeline.run(spark, paths, catalog, target, pipeline.Options(strict=True))
+
+
 def test_run_again_replaces_tables_and_adds_an_audit_line(spark, place):
     paths, catalog, target = place(PRODUCTS, one=[{}], two=[{}])
     options = pipeline.Options(across_sources=True, partition_fact_by=["payment_status"])

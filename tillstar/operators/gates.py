@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tillstar import schemas
 from tillstar.functions import rules
+from tillstar.functions.dates import EITHER_ORDER, date_format, date_order, standard_date
 
 SRC = schemas.SOURCE
 
@@ -118,11 +119,26 @@ def reconcile_rejects(sales: DataFrame) -> DataFrame:
     )
 
 
-def unreadable_dates(dated: DataFrame, text: str, day: str) -> DataFrame:
-    """Rows whose date text could not be read as a date (they keep a null date)."""
-    return dated.agg(
-        F.count_if(F.col(text).isNotNull() & F.col(day).isNull()).alias("unreadable_dates")
-    )
+def nothing_lost(violations: DataFrame, table: str) -> DataFrame:
+    """One check per column of a ``contract_violations`` report."""
+    label = F.concat(F.lit(f"{table}: values lost in "), F.col("column"))
+    return lines(violations, equal(label, F.lit(0), F.col("lost")))
+
+
+def findings(sales: DataFrame) -> DataFrame:
+    """Rows the fact leaves out, and rows whose date it cannot read or reads by its fallback."""
+    text = F.col("transaction_date")
+    reason = rules.sales_reject_reason(schemas.SALES_REQUIRED, schemas.SALES_NOT_BLANK)
+    kept = reason.isNull()
+    unreadable = standard_date(text).isNull()
+    either = (date_format(text) == EITHER_ORDER) & date_order(text).isNull()
+    counts = {
+        "rejected_rows": F.count(reason),
+        "unreadable_dates": F.count_if(kept & unreadable),
+        "ambiguous_dates": F.count_if(kept & ~unreadable & either),
+    }
+    parts = [F.struct(F.lit(k).alias("finding"), n.alias("row_count")) for k, n in counts.items()]
+    return sales.agg(F.array(*parts).alias("lines")).select(F.inline("lines"))
 
 
 def enforce(*checks: DataFrame) -> None:

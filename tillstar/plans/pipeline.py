@@ -13,7 +13,7 @@ from tillstar import schemas
 from tillstar.operators import gates
 from tillstar.plans import star
 from tillstar.sources import audit
-from tillstar.sources.delimited import read_text, typed
+from tillstar.sources.delimited import contract_violations, read_text, typed
 from tillstar.sources.sinks import materialise, scratch_path, write_table
 
 PIPELINE_NAME = "retail_star"
@@ -21,8 +21,15 @@ PIPELINE_NAME = "retail_star"
 
 @dataclass
 class Options:
+    """How a run reads, hashes and writes.
+
+    ``strict`` ends the run when a raw value does not convert to its type or a raw
+    line does not split; without it such values become null.
+    """
+
     fmt: str = "parquet"
     multi_line: bool = False
+    strict: bool = False
     secret: str | None = None
     normalise_phone: bool = False
     across_sources: bool = False
@@ -40,6 +47,8 @@ def load_sources(
 
     def read(path: str, schema):
         text = read_text(spark, path, schema, multi_line=options.multi_line)
+        if options.strict:
+            gates.enforce(gates.nothing_lost(contract_violations(text, schema), path))
         return schemas.require_schema(typed(text, schema), schema, path)
 
     tagged = star.union_sources({n: read(p, schemas.SALES) for n, p in sources.items()})
@@ -70,6 +79,13 @@ def publish(
     )
 
 
+def record_findings(sales: DataFrame, target: str, run_id: str) -> None:
+    """Keep what the fact leaves out or reads with doubt: rows with reasons, and counts."""
+    write_table(star.rejected_sales(sales), f"{target}/rejected_sales")
+    found = gates.findings(sales).withColumn("run_id", F.lit(run_id))
+    found.write.mode("append").parquet(f"{target}/run_findings")
+
+
 def build_products(catalog: DataFrame, target: str, options: Options) -> None:
     products = star.dim_product(catalog)
     gates.enforce(gates.reconcile_products(catalog, products))
@@ -121,7 +137,8 @@ def run(
 ) -> str:
     """Build and publish ``dim_product``, ``dim_customer`` and ``fact_sales`` below ``target``.
 
-    Each table is staged and checked before it replaces the published one. The
+    Beside them go the rejected rows, the counts of doubtful rows and the audit
+    lines. Each table is staged and checked before it replaces the published one. The
     audit line is written whatever happens; a failure is raised after it.
     """
     options = options or Options()
@@ -134,6 +151,7 @@ def run(
         build_products(products, target, options)
         build_customers(sales, names, target, options, scratch)
         build_fact(sales, names, target, options, scratch)
+        record_findings(sales, target, run_id)
         status = audit.SUCCEEDED
     finally:
         audit.append_run(spark, f"{target}/run_audit", PIPELINE_NAME, status, run_id)
