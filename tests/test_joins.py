@@ -78,6 +78,13 @@ def test_hot_rows_reach_several_tasks(spark):
     assert max(counts) < sum(counts) / 4
 
 
+def test_rows_without_a_key_reach_several_tasks(spark):
+    df = hot_rows(spark).withColumn("k", F.when(F.col("v") > 3, F.col("k")))
+    sliced = joins._slice_rows(df, ["k"], joins.heavy_keys(weighed(df), ["k"], "n", 10_000))
+    assert sliced.filter("k IS NULL").select("__slice").distinct().count() > 50
+    assert sliced.filter("k IS NOT NULL AND __slice <> 0").isEmpty()
+
+
 def test_slices_are_the_same_on_every_run(spark, rows):
     df = hot_rows(spark)
     heavy = joins.heavy_keys(weighed(df), ["k"], "n", 100)

@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstar.functions.rules import any_of
+
 # A side is broadcast only when its measured text size is at most this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -33,6 +35,9 @@ ROWS_PER_SLICE = 1_000_000
 # rows, so it needs no spreading; the list itself is small enough to broadcast.
 HEAVY_KEYS = 1_000
 
+# Slices for the rows without a key.
+MISSING_KEY_SLICES = 1_000_000
+
 _SLICES = "__slices"
 _SLICE = "__slice"
 _WEIGHT = "__weight"
@@ -63,11 +68,22 @@ def slices_for(weight: Column, rows_per_slice: int) -> Column:
 
 
 def _slice_rows(rows: DataFrame, key: Sequence[str], heavy: DataFrame) -> DataFrame:
-    """Give every row one slice: zero, unless its key is heavy."""
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *rows.columns), F.col(_SLICES)).cast("int")
+    """Give every row one slice: zero, unless its key is heavy or missing.
+
+    A missing key matches nothing, so its rows may go anywhere; an outer join keeps
+    them, and without slices they would all meet in one task.
+    """
+    place = F.xxhash64(F.spark_partition_id(), *rows.columns)
+    missing = any_of(F.col(k).isNull() for k in key)
     return (
         rows.join(F.broadcast(heavy), list(key), "left")
-        .withColumn(_SLICE, F.when(F.col(_SLICES).isNotNull(), spread).otherwise(F.lit(0)))
+        .withColumn(
+            _SLICE,
+            F.when(F.col(_SLICES).isNotNull(), F.pmod(place, F.col(_SLICES)))
+            .when(missing, F.pmod(place, F.lit(MISSING_KEY_SLICES)))
+            .otherwise(F.lit(0))
+            .cast("int"),
+        )
         .drop(_SLICES)
     )
 

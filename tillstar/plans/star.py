@@ -196,16 +196,14 @@ def star_enriched(
 
     Outer on the fact side: a sale without a customer line or a readable date
     stays. ``customers`` must hold one line per id and ``products`` one per
-    product. The calendar is bounded (see ``dim_date``) and broadcast; customers
-    grow with the sales, so they are always shuffled, heavy ids spread.
+    product. Customers grow with the sales, so they are always shuffled, heavy ids
+    spread; they come first, while the ids can be counted by reading one column.
+    The calendar is bounded (see ``dim_date``) and broadcast.
     """
-    dated = fact.join(
-        F.broadcast(calendar.withColumnRenamed("date", "transaction_date")),
-        "transaction_date",
-        "left",
-    )
-    priced = join_dimension(dated, products, "product_id", "left", small_catalog)
-    return join_spread(priced, customers, "customer_id", "left")
+    known = join_spread(fact, customers, "customer_id", "left")
+    priced = join_dimension(known, products, "product_id", "left", small_catalog)
+    days = calendar.withColumnRenamed("date", "transaction_date")
+    return priced.join(F.broadcast(days), "transaction_date", "left")
 
 
 def masked_contacts(sales: DataFrame, keep_original: bool = True) -> DataFrame:
