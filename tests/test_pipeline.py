@@ -132,6 +132,32 @@ def test_a_broken_gate_ends_the_run_and_is_recorded(spark, place, products, sour
     assert audit_lines(spark, target) == [("bad", "Failed")]
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_reporting(spark, rows, place, fmt):
+    paths, catalog, target = place(
+        PRODUCTS, one=[{}], two=[{"transaction_id": 2, "product_id": 101, "transaction_date": "01-08-2024"}]
+    )
+    options = pipeline.Options(fmt=fmt)
+    pipeline.run(spark, paths, catalog, target, options)
+    pipeline.publish_reporting(spark, target, options)
+
+    def table(name, schema):
+        return pipeline.read_published(spark, f"{target}/{name}", schema, fmt)
+
+    days = table("dim_date", "date date, date_id int, year int, month int, day int")
+    assert rows(days, "date_id") == [(20240105,), (20240106,), (20240107,), (20240108,)]
+    total = table("kpi_summary", "revenue double, orders long, avg_order_value double")
+    assert rows(total) == [(14.0, 2, 7.0)]
+    assert spark.read.format(fmt).load(f"{target}/kpi_by_month").count() >= 1
+
+
+def test_reporting_refuses_repeated_products(spark, place):
+    paths, catalog, target = place([*PRODUCTS, (100, "Pen", "Office", 6.0)], one=[{}], two=[{}])
+    pipeline.run(spark, paths, catalog, target)
+    with pytest.raises(gates.GateFailure, match="repeated product_id: expected 0, found 1"):
+        pipeline.publish_reporting(spark, target)
+
+
 def test_a_missing_source_is_recorded(spark, place):
     paths, catalog, target = place(PRODUCTS, one=[{}])
     with pytest.raises(Exception, match="nowhere"):

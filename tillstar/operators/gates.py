@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tillstar import schemas
 from tillstar.functions import rules
 from tillstar.functions.dates import EITHER_ORDER, date_format, date_order, standard_date
+from tillstar.operators.duplicates import repeated_keys
 
 SRC = schemas.SOURCE
 
@@ -72,6 +73,12 @@ def reconcile_products(catalog: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def unique_key(df: DataFrame, key: str, table: str) -> DataFrame:
+    """No two rows may share a key."""
+    counted = repeated_keys(df, key).agg(F.count(F.lit(1)).alias("n"))
+    return lines(counted, equal(f"{table}: repeated {key}", F.lit(0), F.col("n")))
+
+
 def stage_counts(tagged: DataFrame, sources: list[str], prefix: str) -> DataFrame:
     """One row: rows in total and per source of a table that still has its source tag."""
     return tagged.agg(

@@ -94,3 +94,7 @@ def kpi_by_city(priced: DataFrame) -> DataFrame:
 def kpi_by_month(priced: DataFrame) -> DataFrame:
     day = F.col("transaction_date")
     return _named(indicators(priced, F.year(day), F.month(day)), "year", "month")
+
+
+# Every indicator table, in the order they are published.
+TABLES = [kpi_summary, kpi_by_product, kpi_by_category, kpi_by_city, kpi_by_month]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillstar import schemas
 from tillstar.operators import gates
-from tillstar.plans import star
+from tillstar.plans import kpi, star
 from tillstar.sources import audit
 from tillstar.sources.delimited import contract_violations, read_text, typed
 from tillstar.sources.sinks import materialise, scratch_path, write_table
@@ -64,16 +64,21 @@ def load_sources(
     return sales, products
 
 
+def read_published(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
+    reader = spark.read.schema(schema)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    return reader.format(fmt).load(path)
+
+
 def publish(
     df: DataFrame, schema, path: str, table: str, expected: int, options: Options, partition_by=None
 ) -> None:
     """Write a table whose inputs passed their gates, then compare what arrived."""
     schemas.require_schema(df, schema, table)
     write_table(df, path, options.fmt, partition_by)
-    reader = df.sparkSession.read
-    if options.fmt == "csv":
-        reader = reader.option("header", True)
-    arrived = reader.format(options.fmt).load(path).agg(F.count(F.lit(1)).alias("n"))
+    published = read_published(df.sparkSession, path, schema, options.fmt)
+    arrived = published.agg(F.count(F.lit(1)).alias("n"))
     gates.enforce(
         gates.lines(arrived, gates.equal(f"{table}: rows published", F.lit(expected), F.col("n")))
     )
@@ -156,3 +161,18 @@ def run(
     finally:
         audit.append_run(spark, f"{target}/run_audit", PIPELINE_NAME, status, run_id)
     return run_id
+
+
+def publish_reporting(spark: SparkSession, target: str, options: Options | None = None) -> None:
+    """Write the calendar and the sales indicators from the published tables.
+
+    A product id with two lines would count its sales twice, so ids must be unique.
+    """
+    options = options or Options()
+    fact = read_published(spark, f"{target}/fact_sales", schemas.FACT_SALES, options.fmt)
+    products = read_published(spark, f"{target}/dim_product", schemas.DIM_PRODUCT, options.fmt)
+    gates.enforce(gates.unique_key(products, "product_id", "dim_product"))
+    write_table(star.dim_date(fact), f"{target}/dim_date", options.fmt)
+    priced = kpi.priced_sales(fact, products)
+    for build in kpi.TABLES:
+        write_table(build(priced), f"{target}/{build.__name__}", options.fmt)
