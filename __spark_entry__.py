@@ -267,7 +267,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "blank_product_name": _on_catalog(lambda c: profile.blank_check(c, "product_name")),
         "price_range_check": _on_catalog(lambda c: profile.range_check(c, "price")),
         "lookup_by_ids": _on_sales(
-            lambda s: profile.lookup(s, "transaction_id", [11, 37, 1234])
+            lambda s: profile.lookup(s, "transaction_id", [202, 277, 1351])
         ),
         # Catalog checks and joins
         "sales_product_join": _on_both(checks.sales_with_catalog),

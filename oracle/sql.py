@@ -410,7 +410,7 @@ FROM catalog"""
             ]
         ]
     )
-    q["lookup_by_ids"] = _with() + "SELECT * FROM retail WHERE transaction_id IN (11, 37, 1234)"
+    q["lookup_by_ids"] = _with() + "SELECT * FROM retail WHERE transaction_id IN (202, 277, 1351)"
 
     # Catalog checks and joins
     q["sales_product_join"] = _with(JOINED) + "SELECT * FROM joined"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import types as T
+
 from tillstar import schemas
 
 GOOD = {
@@ -23,6 +25,8 @@ GOOD = {
     "payment_status": "SUCCESSFUL",
 }
 
+TAGGED = T.StructType([*schemas.SALES.fields, T.StructField(schemas.SOURCE, T.StringType())])
+
 
 def sales(spark, *changes: dict):
     rows = [tuple({**GOOD, **change}[c] for c in schemas.SALES.names) for change in changes]
@@ -36,13 +40,7 @@ def tagged(spark, *changes: dict):
         tuple({**GOOD, **c}[n] for n in schemas.SALES.names) + (s,)
         for c, s in zip(changes, sources)
     ]
-    return spark.createDataFrame(rows, _tagged_schema())
-
-
-def _tagged_schema():
-    from pyspark.sql import types as T
-
-    return T.StructType([*schemas.SALES.fields, T.StructField(schemas.SOURCE, T.StringType())])
+    return spark.createDataFrame(rows, TAGGED)
 
 
 def catalog(spark, *rows: tuple):
