@@ -28,6 +28,14 @@ from tillstar.operators.joins import fits_broadcast  # noqa: E402
 from tillstar.plans import kpi, star  # noqa: E402
 from tillstar.sources import delimited, derived, sinks  # noqa: E402
 
+try:  # the corpus operators and their pipeline may be taken out of the library
+    import corpus_pipeline
+    from tillstar.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tillstar.llm"):
+        raise
+    corpus = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 SOURCES = derived.SOURCES
 
@@ -247,6 +255,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _retail_queries() | _corpus_queries()
+
+
+def _corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if corpus is None:
+        return {}
+    return corpus.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _retail_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # Sources, sinks, load control
         "load_gate": load_gate,
@@ -336,4 +354,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return statements()
+    if corpus is None:
+        return statements()
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return statements() | corpus.oracle_sql() | pipeline
