@@ -1,8 +1,9 @@
 """Finds benchmark items in texts within an edit budget, by the q-gram lemma.
 
 An item of m bytes found with at most e edits keeps at least m - q + 1 - q e of its q-grams,
-all on diagonals (place in the text minus place in the item) that differ by at most e. So the
-shared q-grams of each text and item are counted in diagonal bands of 2 (e + 1), each band
+all on diagonals (place in the text minus place in the item) that differ by at most e. An item
+leaves out its most common q-grams, up to half of that bound, and lowers the bound by as many.
+The shared q-grams of each text and item are counted in diagonal bands of 2 (e + 1), each band
 half over the next, and only bands that reach the bound are verified: a banded alignment gives
 the least edits of the whole item against any stretch of the text there, and where that lies.
 
@@ -25,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import appended, mix, text_slices
+from tillstar.llm.common import appended, text_slices
 
 Q = 8
 BUDGET = 0.1
 BLOCK_BYTES = 4 * 1024 * 1024
 # Candidates aligned together.
 ALIGNED = 64
-_TABLE_BITS = 22
+_TABLE_BITS = 20
 
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[65:91] += 32
@@ -58,7 +59,18 @@ def grams(data: np.ndarray) -> np.ndarray:
 
 
 def _slot(values: np.ndarray) -> np.ndarray:
-    return (mix(values) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+    spread = values * np.uint64(0x9E3779B97F4A7C15)
+    return (spread >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+
+
+def _commonness(own: list[np.ndarray]) -> list[np.ndarray]:
+    """How common each q-gram of the items is likely to be: by the halves' counts in them."""
+    every = np.concatenate([*own, np.zeros(0, np.uint64)])
+    product = np.ones(len(every), np.int64)
+    for half in (every & np.uint64(0xFFFFFFFF), every >> np.uint64(32)):
+        _, which, count = np.unique(half, return_inverse=True, return_counts=True)
+        product *= count[which]
+    return np.split(product, np.cumsum([len(g) for g in own])[:-1]) if own else []
 
 
 class Items:
@@ -74,9 +86,15 @@ class Items:
         self.edits = np.minimum((budget * sizes).astype(np.int64), able)
         self.need = np.maximum(sizes - Q + 1 - Q * self.edits, 1)
         own = [grams(t) for t in self.texts]
-        every = np.concatenate([*own, np.zeros(0, np.uint64)])
-        owner = np.repeat(np.arange(len(own)), [len(g) for g in own])
-        place = np.concatenate([*[np.arange(len(g)) for g in own], np.zeros(0, np.int64)])
+        left_out = self.need // 2
+        kept = [
+            np.sort(np.argsort(c, kind="stable")[: len(c) - drop])
+            for c, drop in zip(_commonness(own), left_out, strict=True)
+        ]
+        self.need = self.need - left_out
+        every = np.concatenate([*[g[k] for g, k in zip(own, kept)], np.zeros(0, np.uint64)])
+        owner = np.repeat(np.arange(len(own)), [len(k) for k in kept])
+        place = np.concatenate([*kept, np.zeros(0, np.int64)])
         order = np.argsort(every, kind="stable")
         self.values, self.first = np.unique(every[order], return_index=True)
         self.count = np.diff(self.first, append=len(order))
@@ -96,6 +114,8 @@ class Items:
         text = np.searchsorted(offsets, at, side="right") - 1
         hit = (self.values[near] == every[at]) & (at + Q <= offsets[text + 1])
         at, near, text = at[hit], near[hit], text[hit]
+        if not len(at):
+            return none
         times = self.count[near]
         at, text = np.repeat(at, times), np.repeat(text, times)
         within = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
@@ -105,12 +125,12 @@ class Items:
         step = self.edits[item] + 1
         band = diagonal // step
         # A band is two steps wide: a hit counts in the band of its step and the one before.
-        key = np.stack([np.tile(text, 2), np.tile(item, 2), np.concatenate([band, band - 1])])
-        order = np.lexsort(key[::-1])
-        key = key[:, order]
-        new = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
-        hits = np.diff(new, append=key.shape[1])
-        text, item, band = key[:, new]
+        pair = np.unique(text * len(self.ids) + item, return_inverse=True)
+        low, spread = int(band.min()) - 1, int(band.max() - band.min()) + 2
+        key = pair[1].ravel() * spread + band - low
+        key, hits = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        both = pair[0][key // spread]
+        text, item, band = both // len(self.ids), both % len(self.ids), key % spread + low
         able = hits >= self.need[item]
         text, item, band = text[able], item[able], band[able]
         return text, item, band * (self.edits[item] + 1)
