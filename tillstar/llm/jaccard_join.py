@@ -263,8 +263,11 @@ def _searched(size: int, percent: int):
 
 
 def _search(placed: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Brings each class's text once to each block it is placed in, and searches there."""
-    rows = placed.join(docs, placed["rep"].eqNullSafe(docs["doc_id"])).select(
+    """Brings each class's text once to each block it is placed in, and searches there.
+
+    The placed classes grow with the input, so this is a merge join at every size.
+    """
+    rows = placed.hint("merge").join(docs, placed["rep"].eqNullSafe(docs["doc_id"])).select(
         "block", "rep", "role", "check", "text"
     )
     dealt = rows.repartition("block").sortWithinPartitions("block", F.desc("role"), "rep")
