@@ -41,15 +41,10 @@ SHARD_BYTES = 1 << 20
 # --- suffix arrays -----------------------------------------------------------------------
 
 
-def _dense(key: np.ndarray, then: np.ndarray | None = None) -> np.ndarray:
-    """Rank of each (key, then), equal ones sharing a rank; both are below 2**31."""
-    if then is not None:
-        key = (key << np.int64(31)) | then
-    order = np.argsort(key)
-    ordered = key[order]
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
-    return rank
+def _places(value: np.ndarray) -> np.ndarray:
+    """For each element the number of smaller ones, by counting."""
+    count = np.bincount(value)
+    return (np.cumsum(count) - count)[value]
 
 
 def classified(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,42 +59,35 @@ def classified(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return smaller, lms
 
 
-def _induced(text, smaller, lms, rank) -> np.ndarray:
-    """Order of all suffixes up to their next leftmost smaller one, and beyond it by ``rank``.
+def _runs_down(part: np.ndarray, ended: np.ndarray) -> np.ndarray:
+    """Orders positions by what follows them up to the next ended position.
 
-    A suffix runs through (character, type) pairs to the next leftmost smaller position, where
-    ``rank`` decides. The steps double: each joins a part with the part that follows it.
+    ``part`` has each position's place by its own symbol, the end last; elements of one place
+    are told apart by doubling: a part is joined with the part that follows it until it is alone
+    in its place or runs into an ended position.
     """
-    n = len(text)
-    plain = 2 * text.astype(np.int64) + smaller
-    closed = np.zeros(n + 1, bool)
-    closed[lms] = True
-    closed[n] = True
-    part = np.zeros(n + 1, np.int64)
-    part[:n] = plain + 1
-    tail = np.zeros(n + 1, np.int64)
-    tail[lms] = rank + 1
-    part, step = _dense(part, tail), 1
-    while not closed.all():
-        # Parts that are still open take in what follows; the closed ones only keep their place.
-        open_ = np.flatnonzero(~closed)
-        follow = np.minimum(open_ + step, n)
-        ranks = _dense(part[open_], part[follow])
-        size = np.zeros(int(part.max()) + 2, np.int64)
-        order = np.argsort(ranks)
-        kinds = np.flatnonzero(np.diff(ranks[order], prepend=-1))
-        extra = np.bincount(part[open_][order[kinds]], minlength=len(size) - 1)
-        present = np.zeros(len(size) - 1, bool)
-        present[part[closed]] = True
-        size[1:] = np.cumsum(np.maximum(extra + present, 1))
-        base = np.searchsorted(part[open_][order[kinds]], np.arange(len(size) - 1))
-        old = part[open_]
-        part = size[part]
-        part[open_] = size[old] + ranks - base[old] + present[old]
-        now = closed.copy()
-        now[open_] = closed[follow]
-        closed, step = now, 2 * step
-    return _dense(plain, part[1:])
+    n, step = len(part) - 1, 1
+    closed = ended.copy()
+    size = np.bincount(part, minlength=n + 2)
+    active = np.flatnonzero(~closed & (size[part] > 1))
+    while len(active):
+        follow = np.minimum(active + step, n)
+        key = (part[active] << np.int64(31)) | part[follow]
+        done = closed[follow]
+        order = np.argsort(key)
+        key = key[order]
+        at = np.arange(len(key))
+        new = np.append(True, key[1:] != key[:-1])
+        old = np.append(True, (key[1:] >> 31) != (key[:-1] >> 31))
+        shift = np.maximum.accumulate(np.where(new, at, 0))
+        shift -= np.maximum.accumulate(np.where(old, at, 0))
+        active, done = active[order], done[order]
+        part[active] = (key >> 31) + shift
+        closed[active[done]] = True
+        alone = new & np.append(new[1:], True)
+        active = active[~done & ~alone]
+        step *= 2
+    return part
 
 
 def suffix_ranks(text: np.ndarray) -> np.ndarray:
@@ -108,13 +96,35 @@ def suffix_ranks(text: np.ndarray) -> np.ndarray:
     if n < 2:
         return np.zeros(n, np.int64)
     smaller, lms = classified(text)
-    if not len(lms):
-        return _induced(text, smaller, lms, np.zeros(0, np.int64))
-    names = _induced(text, smaller, lms, np.zeros(len(lms), np.int64))[lms]
-    names = _dense(names)
-    if int(names.max()) + 1 < len(lms):
+    plain = 2 * text.astype(np.int64) + smaller
+    ended = np.zeros(n + 1, bool)
+    ended[lms] = ended[n] = True
+    symbol = np.zeros(n + 1, np.int64)
+    symbol[:n] = 2 * plain + 1
+    symbol[lms] += 1
+    # Names: the substrings from one leftmost smaller suffix to the next, in their order.
+    part = _runs_down(_places(symbol), ended)
+    key = (plain[lms] << np.int64(31)) | part[lms + 1]
+    order = np.argsort(key)
+    names = np.zeros(len(lms), np.int64)
+    names[order] = np.cumsum(np.append(0, key[order][1:] != key[order][:-1]))[: len(lms)]
+    if len(lms) and int(names.max()) + 1 < len(lms):
         names = suffix_ranks(names)
-    return _induced(text, smaller, lms, names)
+    # The rest follows: suffixes run down to a leftmost smaller one whose rank is known.
+    part = _places(symbol)
+    first = np.empty(len(lms), np.int64)
+    first[names] = lms
+    within = np.arange(len(lms)) - _places(plain[first]) if len(lms) else first
+    part[first] += within
+    part = _runs_down(part, ended)
+    before = np.empty(n + 1, np.int64)
+    before[part] = np.arange(n + 1)
+    before = before[before > 0] - 1
+    kind = plain[before]
+    kind = kind.astype(np.uint16) if int(kind.max()) < 1 << 16 else kind
+    ranks = np.empty(n, np.int64)
+    ranks[before[np.argsort(kind, kind="stable")]] = np.arange(n)
+    return ranks
 
 
 def permuted_common_prefixes(text: np.ndarray, ranks: np.ndarray) -> np.ndarray:
