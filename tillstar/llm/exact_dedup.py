@@ -27,6 +27,7 @@ from tillstar.llm.common import chosen, mix, stored, text_slices
 # A chunk ends where the hash of its last eight bytes is a multiple of MEAN_CHUNK, and after
 # MAX_CHUNK bytes at the latest.
 MEAN_CHUNK, MAX_CHUNK = 2_048, 16_384
+VARIANTS = "array<struct<at:int,variant:bigint>>"
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -85,22 +86,30 @@ def _recipes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _variants(recipes: DataFrame) -> DataFrame:
-    """(doc_id, text_sha256, variants) of the recipes that hold an identifier with several
-    digests: per chunk its variant, -1 for an identifier with one digest."""
+def _with_variants(recipes: DataFrame) -> DataFrame:
+    """``recipes`` with v: the variant of each chunk whose identifier has several digests.
+
+    Identifiers with several digests are looked for first; mostly there is none.
+    """
     steps = recipes.select(
         "doc_id", "text_sha256", F.posexplode(F.arrays_zip("weak", "strong")).alias("at", "c")
     ).select("doc_id", "text_sha256", "at", "c.weak", "c.strong")
     kinds = steps.select("weak", "strong").distinct().groupBy("weak")
     clashes = kinds.agg(F.sort_array(F.collect_list("strong")).alias("kinds"))
-    clashes = clashes.filter(F.size("kinds") > 1)
+    clashes = stored(clashes.filter(F.size("kinds") > 1), "clashes")
+    if clashes.isEmpty():
+        return recipes.withColumn("v", F.expr(f"cast(array() as {VARIANTS})"))
     told = steps.join(clashes, "weak").select(
         "doc_id",
         "text_sha256",
         F.struct("at", F.array_position("kinds", F.col("strong")).alias("variant")).alias("v"),
     )
     told = told.groupBy("doc_id", "text_sha256").agg(F.sort_array(F.collect_set("v")).alias("v"))
-    return told.withColumnsRenamed({"doc_id": "told_id", "text_sha256": "told_sha256"})
+    told = told.withColumnsRenamed({"doc_id": "told_id", "text_sha256": "told_sha256"})
+    same = recipes["doc_id"].eqNullSafe(told["told_id"])
+    same &= recipes["text_sha256"] == told["told_sha256"]
+    listed = recipes.join(told, same, "left").drop("told_id", "told_sha256")
+    return listed.withColumn("v", F.coalesce("v", F.expr(f"cast(array() as {VARIANTS})")))
 
 
 def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -110,12 +119,7 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "doc_id long, text_sha256 string, n_bytes long, weak array<long>, strong array<binary>",
     )
     recipes = stored(recipes, "recipes")
-    told = _variants(recipes)
-    same = recipes["doc_id"].eqNullSafe(told["told_id"])
-    same &= recipes["text_sha256"] == told["told_sha256"]
-    listed = recipes.drop("strong").join(told, same, "left").drop("told_id", "told_sha256")
-    listed = listed.withColumn("v", F.coalesce("v", F.expr("array()")))
-    listed = stored(listed, "identifier-lists")
+    listed = _with_variants(recipes).drop("strong")
     groups = listed.groupBy("weak", "v").agg(
         F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
     )
