@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstar.sources.sinks import materialise, scratch_path
+from tillstar.sources.sinks import scratch_path
 
 # Bytes of text worked on at once inside a task, few enough for a core's cache; one longer
 # text is a slice of its own.
@@ -20,7 +20,9 @@ SLICE_BYTES = 256 * 1024
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back."""
-    return materialise(df, scratch_path(df.sparkSession, name))
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def text_slices(

@@ -215,14 +215,18 @@ def _window_keys(data: np.ndarray, offsets: np.ndarray, length: int):
 
 
 def _deciding(data: np.ndarray, offsets: np.ndarray, length: int):
-    """(text, key) of every gram that is the least of some window."""
+    """(text, key, times) of every gram that is the least of some window."""
     if len(data) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return [np.zeros(0, np.int64)] * 3
     grams, keys, owner = _window_keys(data, offsets, length)
     around = np.full(length - GRAM, -1)
     most = _in_window(np.maximum, np.concatenate([around, keys, around]), length - GRAM + 1)
     places = np.flatnonzero(most == grams)
-    return owner[places], grams[places]
+    order = np.lexsort((grams[places], owner[places]))
+    text, key = owner[places][order], grams[places][order]
+    new = np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1]))[: len(key)]
+    first = np.flatnonzero(new)
+    return text[first], key[first], np.diff(first, append=len(key))
 
 
 def _runs(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -241,16 +245,17 @@ def _runs(data: np.ndarray, offsets: np.ndarray, length: int):
 
 
 def _keyed(length: int):
-    schema = pa.schema([(c, pa.int64()) for c in ("key", "doc_id", "tag")])
+    schema = pa.schema([(c, pa.int64()) for c in ("key", "doc_id", "tag", "n")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, tags = batch.column("doc_id"), batch.column("tag")
             for low, _, data, offsets in text_slices(batch):
-                doc, key = _deciding(data, offsets, length)
+                doc, key, times = _deciding(data, offsets, length)
                 rows = pa.array(doc + low)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), ids.take(rows), tags.take(rows)], schema=schema
+                    [pa.array(key), ids.take(rows), tags.take(rows), pa.array(times)],
+                    schema=schema,
                 )
 
     return run
@@ -404,9 +409,9 @@ def repeated_bytes_removed(
 ) -> DataFrame:
     """One line per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes)."""
     docs = chosen(df, id_col, text_col).withColumn("tag", text_key())
-    keyed = docs.mapInArrow(_keyed(length), "key long, doc_id long, tag long")
-    again = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    hits = keyed.join(again, "key")
+    keyed = docs.mapInArrow(_keyed(length), "key long, doc_id long, tag long, n long")
+    again = keyed.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
+    hits = keyed.drop("n").join(again, "key")
     hits = hits.groupBy("doc_id", "tag").agg(F.collect_set("key").alias("keys"))
     same_row = docs["doc_id"].eqNullSafe(hits["doc_id"]) & (docs["tag"] == hits["tag"])
     found = docs.join(hits, same_row).select(docs["doc_id"], docs["tag"], "text", "keys")
