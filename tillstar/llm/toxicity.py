@@ -80,20 +80,34 @@ class Model:
 def trained(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> Model:
     """Model of (label, slots, counts) rows by full-batch gradient descent (Adam)."""
     label = np.array([r[0] for r in rows], np.float64)
-    if not len(rows) or label.min() == label.max():
+    if not len(rows) or label.min() == label.max() or not any(len(r[1]) for r in rows):
         share = label.mean() if len(rows) else 0.0
-        return Model(50.0 if share else -50.0, np.zeros(1 << BITS))
-    size = np.array([len(r[1]) for r in rows])
-    slot = np.concatenate([r[1] for r in rows])
-    seen = np.bincount(slot, minlength=1 << BITS)
-    used = np.flatnonzero(seen > 1)
-    place = np.zeros(1 << BITS, np.int64)
+        odds = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
+        return Model(float(odds), np.zeros(1 << BITS))
+    total = np.array([r[2].sum() + NEUTRAL for r in rows], np.float32)
+    seen = np.zeros(1 << BITS, np.int32)
+    for _, slot, _ in rows:
+        seen[slot] += 1
+    used = np.flatnonzero(seen > (1 if (seen > 1).any() else 0))
+    place = np.full(1 << BITS, -1, np.int32)
     place[used] = np.arange(len(used))
-    total = np.array([r[2].sum() + NEUTRAL for r in rows])
-    weight = np.concatenate([r[2] for r in rows]) / np.repeat(total, size)
-    text = np.repeat(np.arange(len(rows)), size)
-    keep = seen[slot] > 1
-    column, weight, text = place[slot[keep]], weight[keep], text[keep]
+    column = [place[slot] for _, slot, _ in rows]
+    size = np.array([(c >= 0).sum() for c in column])
+    weight = np.concatenate([n[c >= 0] / t for (_, _, n), c, t in zip(rows, column, total)])
+    column = np.concatenate([c[c >= 0] for c in column])
+    # The bags in both orders: by text, for the averages, and by slot, for the slopes.
+    filled = np.flatnonzero(size)
+    by_text = (np.cumsum(size) - size)[filled]
+    order = np.argsort(column, kind="stable").astype(np.int32)
+    text_by_slot = np.repeat(np.arange(len(rows), dtype=np.int32), size)[order]
+    weight_by_slot = weight[order]
+    by_slot = np.searchsorted(column[order], np.arange(len(used)))
+    del order
+
+    def averaged(slots: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(rows))
+        out[filled] = np.add.reduceat(weight * slots.astype(np.float32)[column], by_text)
+        return out
 
     rng = np.random.default_rng(11)
     inner = rng.normal(0, 0.1, (len(used), DIMENSIONS))
@@ -105,14 +119,12 @@ def trained(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> Model:
     truth = np.stack([1 - label, label], 1)
     for step in range(1, ROUNDS + 1):
         # The average of embeddings times the softmax weights, one number per slot and class.
-        logits = np.stack(
-            [np.bincount(text, weight * s[column], len(rows)) for s in (inner @ outer).T], 1
-        )
-        logits += bias
+        logits = np.stack([averaged(s) for s in (inner @ outer).T], 1) + bias
         odds = np.exp(logits - logits.max(axis=1, keepdims=True))
         miss = odds / odds.sum(axis=1, keepdims=True) - truth
         # Both classes' errors are opposite, so one sum over the bags serves both.
-        pull = np.bincount(column, weight * miss[text, 1], len(used)) / len(rows)
+        error = miss[:, 1].astype(np.float32)
+        pull = np.add.reduceat(weight_by_slot * error[text_by_slot], by_slot) / len(rows)
         both = np.stack([-pull, pull], 1)
         slopes = [both @ outer.T + DECAY * inner, inner.T @ both, miss.mean(axis=0)]
         for p, m, v, g in zip(parts, first, second, slopes, strict=True):
