@@ -28,6 +28,15 @@ def hot_rows(spark, n=6_000):
     )
 
 
+@pytest.fixture
+def many_partitions(spark):
+    """So many shuffle partitions that an even share is smaller than the slices asked for."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4000")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def weighed(df):
     return df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
 
@@ -56,9 +65,23 @@ def test_join_spread_keeps_repeated_dimension_keys(spark, rows):
     assert rows(joins.join_spread(df, dimension, "k", "inner", 10)) == rows(plain)
 
 
-def test_more_hot_keys_than_the_list_holds(spark, rows, monkeypatch):
-    """Keys beyond the list are not spread, and lose no rows."""
-    monkeypatch.setattr(joins, "HEAVY_KEYS", 2)
+def test_every_key_above_its_share_is_spread(spark, many_partitions):
+    """However many heavy keys there are, each one reaches several slices."""
+    df = spark.range(0, 60_000, numPartitions=8).select((F.col("id") % 1200).alias("k"), "id")
+    heavy = joins.heavy_keys(weighed(df).coalesce(8), ["k"], "n", 10)
+    assert heavy.count() == 1200
+    slices = joins._slice_rows(df, ["k"], heavy).groupBy("k")
+    slices = slices.agg(F.count_distinct("__slice").alias("s"))
+    assert slices.agg(F.min("s")).first()[0] > 1
+
+
+def test_heavy_keys_are_fewer_than_partitions(spark):
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(0, 6_000).select((F.col("id") % 40).alias("k"))
+    assert joins.heavy_keys(weighed(df), ["k"], "n", 1).count() <= partitions
+
+
+def test_many_hot_keys_lose_no_rows(spark, rows):
     df = hot_rows(spark)
     keys = weighed(df).filter(F.col("n") > 1)
     plain = df.join(keys.select("k"), "k", "left_semi")
@@ -67,7 +90,7 @@ def test_more_hot_keys_than_the_list_holds(spark, rows, monkeypatch):
     assert rows(joins.join_spread(df, dimension, "k", "left", 3)) == rows(df)
 
 
-def test_hot_rows_reach_several_tasks(spark):
+def test_hot_rows_reach_several_tasks(spark, many_partitions):
     """The third of the rows that shares a key is divided, exact copies included."""
     df = hot_rows(spark)
     heavy = joins.heavy_keys(weighed(df), ["k"], "n", 100)

@@ -28,13 +28,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Bytes a value costs beside its text.
 ROW_OVERHEAD = 16
 
-# Rows of one key that a single task should handle at most.
+# Rows of one key that need no spreading, whatever the size of the input.
 ROWS_PER_SLICE = 1_000_000
 
-# Keys spread at once. A key outside the heaviest 1,000 holds under 1/1,000 of the
-# rows, so it needs no spreading; the list itself is small enough to broadcast.
-HEAVY_KEYS = 1_000
-
 # Slices for the rows without a key.
 MISSING_KEY_SLICES = 1_000_000
 
@@ -51,20 +47,30 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return measured["size"] <= limit
 
 
+def slice_rows(counts: DataFrame, weight: str, rows_per_slice: int) -> Column:
+    """Rows of one key a slice takes: ``rows_per_slice``, or an even share of all rows
+    over the shuffle partitions if that is more.
+
+    So a key above it holds more than one partition's share, and there can be no more
+    such keys than shuffle partitions.
+    """
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.coalesce(F.sum(weight), F.lit(0))).scalar()
+    return F.greatest(F.lit(rows_per_slice).cast("double"), total / F.lit(partitions))
+
+
 def heavy_keys(
     counts: DataFrame, key: Sequence[str], weight: str, rows_per_slice: int
 ) -> DataFrame:
-    """The heaviest keys and the number of slices each needs: at most HEAVY_KEYS rows."""
-    return (
-        counts.filter(F.col(weight) > rows_per_slice)
-        .orderBy(F.desc(weight), *key)
-        .limit(HEAVY_KEYS)
-        .select(*key, slices_for(F.col(weight), rows_per_slice).alias(_SLICES))
-    )
+    """Every key that needs several slices, with their number: fewer keys than there are
+    shuffle partitions (see ``slice_rows``), which is what bounds the broadcast of this list."""
+    share = slice_rows(counts, weight, rows_per_slice)
+    slices = slices_for(F.col(weight), share)
+    return counts.select(*key, slices.alias(_SLICES)).filter(F.col(_SLICES) > 1)
 
 
-def slices_for(weight: Column, rows_per_slice: int) -> Column:
-    return F.ceil(weight / F.lit(rows_per_slice)).cast("int")
+def slices_for(weight: Column, share: Column) -> Column:
+    return F.ceil(weight / share).cast("int")
 
 
 def _slice_rows(rows: DataFrame, key: Sequence[str], heavy: DataFrame) -> DataFrame:
@@ -109,7 +115,8 @@ def keep_matching(
     key = [key] if isinstance(key, str) else list(key)
     weighed = keys.select(*key, weight)
     heavy = heavy_keys(weighed, key, weight, rows_per_slice)
-    sliced_keys = _repeat_per_slice(weighed, slices_for(F.col(weight), rows_per_slice))
+    share = slice_rows(weighed, weight, rows_per_slice)
+    sliced_keys = _repeat_per_slice(weighed, slices_for(F.col(weight), share))
     return (
         _slice_rows(rows, key, heavy)
         .join(sliced_keys.select(*key, _SLICE), [*key, _SLICE], "left_semi")
