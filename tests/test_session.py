@@ -9,10 +9,17 @@ def test_partitions_follow_the_input():
 
     assert partitions(0, 8) == 8
     assert partitions(10 * 1024**3, 8) == 54
-    assert partitions(100 * 1024**4, 8000) == session.MOST_PARTITIONS
+    assert partitions(100 * 1024**4, 8000) == 546134
     assert partitions(1024**4, 4000) == 5462
 
 
+def test_settings_return_after_a_tuned_block(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with session.tuned(spark, 10 * 1024**3):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "54"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_settings_can_be_set_on_a_running_session(spark):
     names = session.settings_for(0, 1)
     before = {n: spark.conf.get(n) for n in names}

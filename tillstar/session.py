@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from math import ceil
 
 from pyspark.sql import SparkSession
@@ -12,9 +14,6 @@ MIB = 1024 * 1024
 SCAN_BYTES = 256 * MIB
 SHUFFLE_BYTES = 192 * MIB
 
-# More shuffle partitions than this cost more in bookkeeping than they gain.
-MOST_PARTITIONS = 200_000
-
 
 def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
     """Enough shuffle partitions for each to fit in memory, and never fewer than cores.
@@ -22,7 +21,7 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
     The adaptive settings join small partitions again and split the large ones of a
     skewed join, also where that costs an extra shuffle afterwards.
     """
-    partitions = min(MOST_PARTITIONS, max(cores, ceil(input_bytes / SHUFFLE_BYTES)))
+    partitions = max(cores, ceil(input_bytes / SHUFFLE_BYTES))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(SCAN_BYTES),
@@ -41,3 +40,18 @@ def tune(spark: SparkSession, input_bytes: int) -> SparkSession:
     for name, value in settings_for(input_bytes, cores).items():
         spark.conf.set(name, value)
     return spark
+
+
+@contextmanager
+def tuned(spark: SparkSession, input_bytes: int) -> Iterator[SparkSession]:
+    """``tune`` for the length of a block; the session's own settings return after it."""
+    names = settings_for(input_bytes, 1)
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        yield tune(spark, input_bytes)
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

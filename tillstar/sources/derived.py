@@ -6,42 +6,16 @@ constants below are fixed values of that view.
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillstar import schemas
 
 SOURCES = ["retail1", "retail2"]
 
 
-@cache
-def _schema(spark: SparkSession, path: str) -> T.StructType:
-    """Schema in the file's footer, read once per session and path."""
-    return spark.read.parquet(path).schema
-
-
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    path = f"{folder.rstrip('/')}/{name}.parquet"
-    return spark.read.schema(_schema(spark, path)).parquet(path)
-
-
-def _use_all_cores(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread an input that has fewer splits than the session has cores.
-
-    One small file is one task, which would leave a machine idle through all the
-    map-side work. Inputs with enough splits are returned as they are, so nothing
-    is shuffled at scale. Hashing on a unique key keeps re-run tasks repeatable.
-    """
-    spark = df.sparkSession
-    cores = min(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def catalog(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,9 +63,9 @@ def tagged_sales(spark: SparkSession, folder: str) -> DataFrame:
     The joins carry no hints: Spark broadcasts a side below its size threshold and
     otherwise shuffles, splitting skewed partitions at run time.
     """
-    lines = _use_all_cores(_table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
     return (
-        lines.join(_table(spark, folder, "orders"), F.expr("l_orderkey = o_orderkey"))
+        _table(spark, folder, "lineitem")
+        .join(_table(spark, folder, "orders"), F.expr("l_orderkey = o_orderkey"))
         .join(_table(spark, folder, "customer"), F.expr("o_custkey = c_custkey"))
         .join(_table(spark, folder, "part"), F.expr("l_partkey = p_partkey"))
         .join(_table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey"))
