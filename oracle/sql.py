@@ -131,8 +131,10 @@ priced AS (
   WHERE valid_quantity = 'Valid' AND valid_discount = 'Valid' AND payment_status = 'Successful'
 )"""
 
-KPI = """round(sum(amount), 2) AS revenue, count(DISTINCT transaction_id) AS orders,
-  round(sum(amount), 2) / count(DISTINCT transaction_id) AS avg_order_value"""
+CENTS = "sum(CAST(round(amount * 100) AS HUGEINT))"
+KPI = f"""CAST({CENTS} AS DOUBLE) / 100 AS revenue,
+  count(DISTINCT transaction_id) AS orders,
+  (CAST({CENTS} AS DOUBLE) / 100) / count(DISTINCT transaction_id) AS avg_order_value"""
 
 REPEATED = """
 repeated AS (
@@ -570,8 +572,13 @@ FROM (SELECT product_id, count(*) AS n FROM catalog GROUP BY product_id)"""
     )
     q["fact_sales"] = _with(FACT) + f"SELECT {FACT_COLUMNS} FROM fact"
     q["status_split"] = _with(FACT) + (
-        f"SELECT {FACT_COLUMNS}, lower(payment_status) || '_sales' AS split "
-        "FROM fact WHERE payment_status IN ('Successful', 'Failed')"
+        f"""SELECT {FACT_COLUMNS}, CASE WHEN payment_status IN ('Successful', 'Failed')
+  THEN lower(payment_status) ELSE 'other' END || '_sales' AS split FROM fact"""
+    )
+    q["run_audit"] = _with() + (
+        """SELECT 'retail_star' AS pipeline_name, CASE WHEN count(*) FILTER (WHERE src = 'retail1') > 0
+  AND count(*) FILTER (WHERE src = 'retail2') > 0 AND (SELECT count(*) FROM catalog) > 0
+  THEN 'Succeeded' ELSE 'Failed' END AS status, 'load-gate' AS run_id FROM tagged"""
     )
     q["rejected_sales"] = (
         _with()

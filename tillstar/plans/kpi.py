@@ -16,6 +16,9 @@ from tillstar.operators.joins import join_dimension
 
 DEFAULT_STATUS = "Successful"
 
+# Money is summed exactly: sums of doubles depend on the order of the rows.
+MONEY = "decimal(38,4)"
+
 
 def gross(quantity: Column, price: Column, discount: Column) -> Column:
     """Default amount of a row: the discount is not applied, its unit is unknown."""
@@ -39,14 +42,18 @@ def priced_sales(
     rows = fact.filter(countable).select(
         "transaction_id", "product_id", "quantity", "discount", "city", "transaction_date"
     )
+    worth = amount(F.col("quantity"), F.col("price"), F.col("discount"))
     return join_dimension(rows, products, "product_id", "inner", small_catalog).withColumn(
-        "amount", amount(F.col("quantity"), F.col("price"), F.col("discount"))
+        "amount", worth.cast(MONEY)
     )
 
 
 def indicators(priced: DataFrame, *by: Column | str) -> DataFrame:
     """Revenue (to the cent), orders and average order value, overall or per group.
 
+    Amounts are summed as decimals; only the results become doubles, the average from the
+    unrounded sum.
+
     Rows are first summed per group and transaction, map-side and then by both
     keys, so a group with most of the sales is already small and evenly spread
     when the groups are put together.
@@ -59,13 +66,14 @@ def indicators(priced: DataFrame, *by: Column | str) -> DataFrame:
     )
     per_order = keyed.groupBy(*names, "transaction_id").agg(F.sum("amount").alias("amount"))
     totals = per_order.groupBy(*names).agg(
-        F.round(F.sum("amount"), 2).alias("revenue"), F.count("transaction_id").alias("orders")
+        F.sum("amount").alias("total"), F.count("transaction_id").alias("orders")
     )
+    average = F.col("total").cast("double") / F.col("orders")
     return totals.select(
         *names,
-        "revenue",
+        F.round("total", 2).cast("double").alias("revenue"),
         "orders",
-        F.when(F.col("orders") > 0, F.col("revenue") / F.col("orders")).alias("avg_order_value"),
+        F.when(F.col("orders") > 0, average).alias("avg_order_value"),
     )
 
 
