@@ -26,7 +26,8 @@ from tillstar.operators import duplicates as dup  # noqa: E402
 from tillstar.operators import gates, profile  # noqa: E402
 from tillstar.operators.joins import fits_broadcast  # noqa: E402
 from tillstar.plans import kpi, star  # noqa: E402
-from tillstar.sources import delimited, derived, sinks  # noqa: E402
+from tillstar.plans.pipeline import PIPELINE_NAME  # noqa: E402
+from tillstar.sources import audit, delimited, derived, sinks  # noqa: E402
 
 try:  # the corpus operators and their pipeline may be taken out of the library
     import corpus_pipeline
@@ -188,7 +189,8 @@ def _stored_fact(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ri_orphans(spark: SparkSession, folder: str) -> DataFrame:
-    fact = _stored_fact(spark, folder)
+    keys = _fact(spark, folder).select("product_id", "customer_id")
+    fact = sinks.staged(spark, "fact-keys")(keys)
     customers = star.dim_customer(derived.tagged_sales(spark, folder))
     return _stack(
         [
@@ -207,7 +209,6 @@ def star_enriched(spark: SparkSession, folder: str) -> DataFrame:
             fact,
             star.dim_product(catalog),
             customers,
-            star.dim_date(fact),
             small_catalog=fits_broadcast(catalog),
         )
     )
@@ -223,20 +224,37 @@ def date_standardise(sales: DataFrame) -> DataFrame:
 
 
 def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """The gates of a run: stored distinct rows per source against the tables made of them."""
+    """The gates of a run: rows of each source, of the stored union and of the published table."""
     tagged, catalog = derived.tagged_sales(spark, folder), derived.catalog(spark, folder)
-    contacts = sinks.staged(spark, "contacts")(star.valid_customers(tagged).distinct())
-    sold = sinks.staged(spark, "sales")(star.distinct_sales(tagged))
+    parts = {s: tagged.filter(F.col(schemas.SOURCE) == s) for s in SOURCES}
+
+    def gate(build: Callable, publish: Callable, table: str) -> DataFrame:
+        stored = sinks.staged(spark, table)(build(tagged))
+        published = sinks.staged(spark, f"published-{table}")(publish(stored))
+        return gates.reconcile_tagged(
+            {s: build(part) for s, part in parts.items()}, stored, published, table
+        )
+
+    products = sinks.staged(spark, "products")(star.dim_product(catalog))
     return _stack(
         [
-            gates.reconcile_products(catalog, star.dim_product(catalog)),
-            gates.reconcile_tagged(contacts, star.hashed(contacts), "customers", SOURCES),
-            gates.reconcile_tagged(sold, star.flagged_sales(sold), "sales", SOURCES),
+            gates.reconcile_products(catalog, products),
+            gate(lambda t: star.valid_customers(t).distinct(), star.hashed, "customers"),
+            gate(star.distinct_sales, star.flagged_sales, "sales"),
             gates.reconcile_rejects(tagged),
         ]
     )
 
 
+def run_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit line of a run whose status is the outcome of the load gate, read back."""
+    passed = load_gate(spark, folder).filter(~F.col("passed")).isEmpty()
+    path = sinks.scratch_path(spark, "audit")
+    status = audit.SUCCEEDED if passed else audit.FAILED
+    audit.append_run(spark, path, PIPELINE_NAME, status, "load-gate")
+    return audit.read_runs(spark, path).select("pipeline_name", "status", "run_id")
+
+
 PREVIEW_ORDER = [
     "transaction_id",
     "payment_status",
@@ -255,7 +273,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _retail_queries() | _corpus_queries()
+    return retail_queries() | _corpus_queries()
 
 
 def _corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -264,7 +282,7 @@ def _corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return corpus.queries() | {"pipeline": corpus_pipeline.run}
 
 
-def _retail_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def retail_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # Sources, sinks, load control
         "load_gate": load_gate,
@@ -344,6 +362,7 @@ def _retail_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "run_findings": _on_tagged(gates.findings),
         "dim_date": _on_fact(star.dim_date),
         "reconcile_counts": reconcile_counts,
+        "run_audit": run_audit,
         # Indicators
         "kpi_summary": _on_priced(kpi.kpi_summary),
         "kpi_by_category": _on_priced(kpi.kpi_by_category),

@@ -12,8 +12,8 @@ import pytest
 import __spark_entry__ as registered
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = registered.queries()
-ORACLE = registered.oracle_sql()
+QUERIES = registered.retail_queries()
+ORACLE = {name: sql for name, sql in registered.oracle_sql().items() if name in QUERIES}
 DUCK_TYPE = {
     "bigint": "BIGINT",
     "int": "INTEGER",

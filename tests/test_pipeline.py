@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from samples import GOOD
 
 from tillstar import schemas
 from tillstar.operators import gates
-from tillstar.plans import pipeline
+from tillstar.plans import pipeline, star
 from tillstar.sources import audit, delimited
 
 
@@ -75,6 +77,8 @@ def test_findings_and_rejects_are_kept(spark, rows, place):
     pipeline.run(spark, paths, catalog, target, run_id="r1")
     assert rows(spark.read.parquet(f"{target}/run_findings"), "finding", "row_count") == [
         ("ambiguous_dates", 1),
+        ("lost:quantity", 1),
+        ("rejected_contacts", 0),
         ("rejected_rows", 2),
         ("unreadable_dates", 1),
     ]
@@ -88,6 +92,55 @@ def test_strict_run_refuses_lost_values(spark, place):
         pipeline.run(spark, paths, catalog, target, pipeline.Options(strict=True))
 
 
+def test_values_and_lines_that_do_not_fit_are_found_and_kept(spark, rows, place):
+    paths, catalog, target = place(PRODUCTS, one=[{}, {"price": "abc"}], two=[{}, {"email": "no"}])
+    with open(f"{paths['two']}/data.csv", "a") as raw:
+        raw.write(csv_line([*[GOOD[n] for n in schemas.SALES.names], "seventeenth"]) + "\n7,8\n")
+    pipeline.run(spark, paths, catalog, target, run_id="r1")
+    found = dict(rows(spark.read.parquet(f"{target}/run_findings"), "finding", "row_count"))
+    assert found["lost:price"] == 1 and found["lost:_corrupt_line"] == 2
+    assert found["rejected_contacts"] == 2
+    lost = rows(spark.read.parquet(f"{target}/lost_values"), "src", "column", "value")
+    assert ("one", "price", "abc") in lost and ("two", "_corrupt_line", "7,8") in lost
+    assert any(v.endswith("seventeenth") for _, _, v in lost)
+
+
+def test_a_row_lost_in_a_stored_part_stops_the_run(spark, place, monkeypatch):
+    paths, catalog, target = place(PRODUCTS, one=[{}], two=[{}, {"transaction_id": 2}])
+    store = pipeline.materialise
+
+    def losing(df, path):
+        return store(df.limit(1) if path.endswith("sales-1") else df, path)
+
+    monkeypatch.setattr(pipeline, "materialise", losing)
+    with pytest.raises(gates.GateFailure, match="rows of two stored: expected 2, found 1"):
+        pipeline.run(spark, paths, catalog, target)
+
+
+def scratch_files(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    return {str(f) for f in Path(root).rglob("*.parquet")}
+
+
+def test_failure_leaves_published_tables_and_no_scratch(spark, place, monkeypatch):
+    paths, catalog, target = place(PRODUCTS, one=[{}], two=[{"transaction_id": 2}])
+    before = scratch_files(spark)
+    pipeline.run(spark, paths, catalog, target)
+    assert scratch_files(spark) == before
+
+    def broken(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(pipeline, "build_fact", broken)
+    monkeypatch.setattr(star, "dim_product", lambda catalog: catalog.limit(0))
+    with pytest.raises(Exception):
+        pipeline.run(spark, paths, catalog, target)
+    assert spark.read.parquet(f"{target}/dim_product").count() == 2
+    assert spark.read.parquet(f"{target}/fact_sales").count() == 2
+    assert scratch_files(spark) == before
+    assert not list(Path(target).glob("_run-*"))
+
+
 def test_run_again_replaces_tables_and_adds_an_audit_line(spark, place):
     paths, catalog, target = place(PRODUCTS, one=[{}], two=[{}])
     options = pipeline.Options(across_sources=True, partition_fact_by=["payment_status"])

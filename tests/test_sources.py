@@ -52,6 +52,17 @@ def test_phone_keeps_its_leading_zero(spark, rows, tmp_path):
     assert rows(df, "phone") == [("0123456789",)]
 
 
+def test_landing_lines_that_do_not_split_are_set_aside_whole(spark, rows, tmp_path):
+    landing, raw = tmp_path / "landing", str(tmp_path / "raw")
+    landing.mkdir()
+    lines = [",".join(schemas.CATALOG.names), "1,Pen,Office,5", "2,Cup,Home,3,more", "3,Mug"]
+    (landing / "a.csv").write_text("\n".join(lines) + "\n")
+    delimited.landing_to_raw(spark, str(landing), raw, schemas.CATALOG)
+    assert delimited.read_text(spark, raw, schemas.CATALOG).count() == 3
+    aside = delimited.read_unsplit(spark, raw, schemas.CATALOG)
+    assert rows(aside, delimited.CORRUPT) == [("2,Cup,Home,3,more",), ("3,Mug",)]
+
+
 def test_landing_to_raw_keeps_text_as_it_is(spark, rows, tmp_path):
     landing = write(tmp_path / "in", 'product_id;product_name;category;price\n01;"a;b";  ;1.50\n2;say "x";c;\n')
     raw = f"{tmp_path}/raw"

@@ -165,7 +165,7 @@ def test_star_keeps_every_sale(spark, small):
     fact = star.fact_sales(df)
     products = star.dim_product(catalog(spark, (100, "Pen", "Office", 5.0)))
     customers = star.one_per_customer(star.dim_customer(df))
-    found = star.star_enriched(fact, products, customers, star.dim_date(fact), small)
+    found = star.star_enriched(fact, products, customers, small)
     lines = {r["transaction_id"]: r for r in found.collect()}
     assert sorted(lines) == [1, 2, 3, 4, 5]
     assert lines[1]["product_name"] == "Pen" and lines[1]["customer_name"] == "Ann"
@@ -189,6 +189,7 @@ def test_split_by_status(spark, rows):
     assert rows(star.labelled_split(fact), "transaction_id", "split") == [
         (1, "failed_sales"),
         (1, "successful_sales"),
+        (2, "other_sales"),
     ]
 
 

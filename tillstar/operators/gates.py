@@ -8,6 +8,8 @@ twice in the latter.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,33 +81,50 @@ def unique_key(df: DataFrame, key: str, table: str) -> DataFrame:
     return lines(counted, equal(f"{table}: repeated {key}", F.lit(0), F.col("n")))
 
 
-def stage_counts(tagged: DataFrame, sources: list[str], prefix: str) -> DataFrame:
-    """One row: rows in total and per source of a table that still has its source tag."""
-    return tagged.agg(
-        F.count(F.lit(1)).alias(f"{prefix}_total"),
-        *[F.count_if(F.col(SRC) == s).alias(f"{prefix}_{i}") for i, s in enumerate(sources)],
-    )
+def _rows(df: DataFrame) -> Column:
+    return df.agg(F.count(F.lit(1))).scalar()
+
 
+def reconcile_union(parts: Mapping[str, DataFrame], stored: DataFrame, table: str) -> DataFrame:
+    """Every source contributes, and the stored union holds as many rows as they do.
 
-def union_checks(table: str, prefix: str, sources: list[str]) -> list[Column]:
-    """Every source contributes, and the union holds exactly their rows."""
-    parts = [F.col(f"{prefix}_{i}") for i in range(len(sources))]
-    return [
-        *[not_empty(f"{table}: rows of {s}", p) for s, p in zip(sources, parts)],
-        equal(f"{table}: union of sources", sum(parts, F.lit(0)), F.col(f"{prefix}_total")),
-    ]
+    ``parts`` are the sources before the union, each counted by itself.
+    """
+    spark = stored.sparkSession
+    names = [f"part_{i}" for i in range(len(parts))]
+    counts = [_rows(df).alias(n) for n, df in zip(names, parts.values(), strict=True)]
+    counted = spark.range(1).select(*counts, _rows(stored).alias("total"))
+    return lines(
+        counted,
+        *[not_empty(f"{table}: rows of {s}", F.col(n)) for s, n in zip(parts, names, strict=True)],
+        equal(f"{table}: union of sources", sum(map(F.col, names), F.lit(0)), F.col("total")),
+    )
 
 
 def reconcile_tagged(
-    tagged: DataFrame, published: DataFrame, table: str, sources: list[str]
+    parts: Mapping[str, DataFrame], stored: DataFrame, published: DataFrame, table: str
 ) -> DataFrame:
-    """Rows per source and union before publishing, against the rows published."""
-    final = published.agg(F.count(F.lit(1))).scalar()
-    counted = stage_counts(tagged, sources, "s").withColumn("final", final)
+    """``reconcile_union``, and the stored rows against the rows of the published table."""
+    both = stored.sparkSession.range(1).select(
+        _rows(stored).alias("total"), _rows(published).alias("final")
+    )
+    arrived = equal(f"{table}: rows published", F.col("total"), F.col("final"))
+    return reconcile_union(parts, stored, table).unionByName(lines(both, arrived))
+
+
+def all_lines_stored(counts: Mapping[str, int], tagged: DataFrame, table: str) -> DataFrame:
+    """Rows of each source in a stored table against the lines counted in its text."""
+    counted = tagged.agg(
+        *[F.count_if(F.col(SRC) == s).alias(f"part_{i}") for i, s in enumerate(counts)]
+    )
+    stored = [F.col(f"part_{i}") for i in range(len(counts))]
     return lines(
         counted,
-        *union_checks(table, "s", sources),
-        equal(f"{table}: rows published", F.col("s_total"), F.col("final")),
+        *[not_empty(f"{table}: rows of {s}", F.lit(n)) for s, n in counts.items()],
+        *[
+            equal(f"{table}: rows of {s} stored", F.lit(n), part)
+            for (s, n), part in zip(counts.items(), stored, strict=True)
+        ],
     )
 
 
@@ -126,10 +145,11 @@ def reconcile_rejects(sales: DataFrame) -> DataFrame:
     )
 
 
-def nothing_lost(violations: DataFrame, table: str) -> DataFrame:
-    """One check per column of a ``contract_violations`` report."""
-    label = F.concat(F.lit(f"{table}: values lost in "), F.col("column"))
-    return lines(violations, equal(label, F.lit(0), F.col("lost")))
+def nothing_lost(lost: DataFrame) -> DataFrame:
+    """One check per source and column of a table of lost values."""
+    counted = lost.groupBy(SRC, "column").agg(F.count(F.lit(1)).alias("lost"))
+    label = F.concat(F.col(SRC), F.lit(": values lost in "), F.col("column"))
+    return lines(counted, equal(label, F.lit(0), F.col("lost")))
 
 
 def findings(sales: DataFrame) -> DataFrame:

@@ -41,8 +41,10 @@ def preview(df: DataFrame, order: list[str], rows: int) -> DataFrame:
 
 
 def lookup(df: DataFrame, key: str, values: list) -> DataFrame:
-    """Rows whose key is one of ``values``, ordered by it."""
-    return df.filter(F.col(key).isin(values)).orderBy(key)
+    """Rows whose key is one of ``values``, ordered by it and then by every other column, so
+    the rows of one key can be sorted by several tasks."""
+    others = [c for c in df.columns if c != key]
+    return df.filter(F.col(key).isin(values)).orderBy(key, *others)
 
 
 def schema_report(df: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,19 +13,21 @@ from pyspark.sql import functions as F
 from tillstar import schemas
 from tillstar.operators import gates
 from tillstar.plans import kpi, star
+from tillstar.session import tuned
 from tillstar.sources import audit
-from tillstar.sources.delimited import contract_violations, read_text, typed
-from tillstar.sources.sinks import materialise, scratch_path, write_table
+from tillstar.sources.delimited import lost_values, read_text, typed
+from tillstar.sources.sinks import materialise, remove, scratch_path, size_of, switch, write_table
 
 PIPELINE_NAME = "retail_star"
+LOST = "__lost"
 
 
 @dataclass
 class Options:
     """How a run reads, hashes and writes.
 
-    ``strict`` ends the run when a raw value does not convert to its type or a raw
-    line does not split; without it such values become null.
+    A raw value that does not convert to its type, or a raw line that does not split, is
+    always counted and kept in ``lost_values``; ``strict`` ends the run for it.
     """
 
     fmt: str = "parquet"
@@ -36,32 +39,58 @@ class Options:
     partition_fact_by: list[str] = field(default_factory=list)
 
 
+@dataclass
+class Inputs:
+    """Stored typed copies: each source, all of them tagged, the catalog, and what was lost."""
+
+    parts: dict[str, DataFrame]
+    sales: DataFrame
+    catalog: DataFrame
+    lost: DataFrame
+
+
 def load_sources(
     spark: SparkSession, sources: Mapping[str, str], catalog: str, options: Options, scratch: str
-) -> tuple[DataFrame, DataFrame]:
-    """Typed transactions (tagged) and catalog, each parsed from text once and stored.
+) -> Inputs:
+    """Typed transactions and catalog, each parsed from text once and stored.
 
-    Everything afterwards reads the columnar copy, so a step reads only its own
-    columns and a lost executor never causes the text to be parsed again.
+    Everything afterwards reads the columnar copies, so a step reads only its own columns
+    and a lost executor never causes the text to be parsed again. The lines of each source
+    are counted in its text before, and the stored rows against them after.
     """
+    counts: dict[str, int] = {}
 
-    def read(path: str, schema):
+    def store(name: str, path: str, schema, folder: str) -> DataFrame:
         text = read_text(spark, path, schema, multi_line=options.multi_line)
-        if options.strict:
-            gates.enforce(gates.nothing_lost(contract_violations(text, schema), path))
-        return schemas.require_schema(typed(text, schema), schema, path)
-
-    tagged = star.union_sources({n: read(p, schemas.SALES) for n, p in sources.items()})
-    sales = materialise(tagged, f"{scratch}/sales")
-    products = materialise(read(catalog, schemas.CATALOG), f"{scratch}/catalog")
-    names = list(sources)
-    counted = gates.stage_counts(sales, names, "s")
+        counts[name] = text.count()
+        schemas.require_schema(typed(text, schema), schema, path)
+        rows = text.withColumn(LOST, lost_values(schema))
+        return materialise(typed(rows, schema, LOST), f"{scratch}/{folder}")
+
+    stored = {
+        n: store(n, path, schemas.SALES, f"sales-{i}") for i, (n, path) in enumerate(sources.items())
+    }
+    products = store("catalog", catalog, schemas.CATALOG, "catalog")
+    lost = [
+        df.select(F.lit(n).alias(schemas.SOURCE), F.inline(LOST))
+        for n, df in [*stored.items(), ("catalog", products)]
+    ]
+    parts = {n: df.drop(LOST) for n, df in stored.items()}
+    tagged = star.union_sources(parts)
+    inputs = Inputs(
+        {n: star.union_sources({n: df}) for n, df in parts.items()},
+        tagged,
+        products.drop(LOST),
+        reduce(DataFrame.unionByName, lost),
+    )
+    lines = {n: counts[n] for n in sources}
     gates.enforce(
-        gates.load_gate(products, schemas.CATALOG, "catalog"),
-        gates.lines(counted, *gates.union_checks("transactions", "s", names)),
-        gates.reconcile_rejects(sales),
+        *([gates.nothing_lost(inputs.lost)] if options.strict else []),
+        gates.load_gate(inputs.catalog, schemas.CATALOG, "catalog"),
+        gates.all_lines_stored(lines, tagged, "transactions"),
+        gates.reconcile_rejects(tagged),
     )
-    return sales, products
+    return inputs
 
 
 def read_published(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
@@ -84,54 +113,65 @@ def publish(
     )
 
 
-def record_findings(sales: DataFrame, target: str, run_id: str) -> None:
-    """Keep what the fact leaves out or reads with doubt: rows with reasons, and counts."""
-    write_table(star.rejected_sales(sales), f"{target}/rejected_sales")
-    found = gates.findings(sales).withColumn("run_id", F.lit(run_id))
-    found.write.mode("append").parquet(f"{target}/run_findings")
+def record_findings(inputs: Inputs, run: str, run_id: str) -> None:
+    """Keep what the tables leave out or read with doubt: rows with reasons, and counts."""
+    write_table(star.rejected_sales(inputs.sales), f"{run}/rejected_sales")
+    write_table(inputs.lost, f"{run}/lost_values")
+    contacts = star.rejected_contacts(inputs.sales).agg(
+        F.lit("rejected_contacts").alias("finding"), F.count(F.lit(1)).alias("row_count")
+    )
+    lost = inputs.lost.groupBy(F.concat(F.lit("lost:"), "column").alias("finding")).agg(
+        F.count(F.lit(1)).alias("row_count")
+    )
+    found = gates.findings(inputs.sales).unionByName(contacts).unionByName(lost)
+    found.withColumn("run_id", F.lit(run_id)).write.parquet(f"{run}/run_findings")
 
 
-def build_products(catalog: DataFrame, target: str, options: Options) -> None:
-    products = star.dim_product(catalog)
-    gates.enforce(gates.reconcile_products(catalog, products))
-    expected = catalog.count()
-    publish(
-        products, schemas.DIM_PRODUCT, f"{target}/dim_product", "dim_product", expected, options
-    )
+def build_products(inputs: Inputs, run: str, options: Options) -> None:
+    products = star.dim_product(inputs.catalog)
+    gates.enforce(gates.reconcile_products(inputs.catalog, products))
+    expected = inputs.catalog.count()
+    publish(products, schemas.DIM_PRODUCT, f"{run}/dim_product", "dim_product", expected, options)
 
 
-def build_customers(
-    sales: DataFrame, names: list[str], target: str, options: Options, scratch: str
-) -> None:
-    contacts = star.valid_customers(sales).distinct()
-    staged = materialise(contacts, f"{scratch}/customers")
-    counted = gates.stage_counts(staged, names, "s")
-    gates.enforce(gates.lines(counted, *gates.union_checks("customers", "s", names)))
+def build_customers(inputs: Inputs, run: str, options: Options, scratch: str) -> None:
+    def contacts(sales: DataFrame) -> DataFrame:
+        return star.valid_customers(sales).distinct()
+
+    stored = materialise(contacts(inputs.sales), f"{scratch}/customers")
+    parts = {n: contacts(df) for n, df in inputs.parts.items()}
+    gates.enforce(gates.reconcile_union(parts, stored, "customers"))
     build = star.dim_customer_deduped if options.across_sources else star.dim_customer
-    customers = build(staged, options.secret, options.normalise_phone)
-    expected = customers.count() if options.across_sources else staged.count()
+    customers = build(stored, options.secret, options.normalise_phone)
+    each = stored.drop(schemas.SOURCE).distinct() if options.across_sources else stored
     publish(
-        customers, schemas.DIM_CUSTOMER, f"{target}/dim_customer", "dim_customer", expected, options
+        customers,
+        schemas.DIM_CUSTOMER,
+        f"{run}/dim_customer",
+        "dim_customer",
+        each.count(),
+        options,
     )
 
 
-def build_fact(
-    sales: DataFrame, names: list[str], target: str, options: Options, scratch: str
-) -> None:
-    staged = materialise(star.distinct_sales(sales), f"{scratch}/fact")
-    counted = gates.stage_counts(staged, names, "s")
-    gates.enforce(gates.lines(counted, *gates.union_checks("sales", "s", names)))
+def build_fact(inputs: Inputs, run: str, options: Options, scratch: str) -> None:
+    stored = materialise(star.distinct_sales(inputs.sales), f"{scratch}/fact")
+    parts = {n: star.distinct_sales(df) for n, df in inputs.parts.items()}
+    gates.enforce(gates.reconcile_union(parts, stored, "sales"))
     publish(
-        star.flagged_sales(staged),
+        star.flagged_sales(stored),
         schemas.FACT_SALES,
-        f"{target}/fact_sales",
+        f"{run}/fact_sales",
         "fact_sales",
-        staged.count(),
+        stored.count(),
         options,
         options.partition_fact_by,
     )
 
 
+TABLES = ["dim_product", "dim_customer", "fact_sales", "rejected_sales", "lost_values"]
+
+
 def run(
     spark: SparkSession,
     sources: Mapping[str, str],
@@ -142,23 +182,32 @@ def run(
 ) -> str:
     """Build and publish ``dim_product``, ``dim_customer`` and ``fact_sales`` below ``target``.
 
-    Beside them go the rejected rows, the counts of doubtful rows and the audit
-    lines. Each table is staged and checked before it replaces the published one. The
-    audit line is written whatever happens; a failure is raised after it.
+    Beside them go the rejected rows, the values lost on the way from text, the counts of
+    both and of doubtful rows, and the audit lines. All tables are first written to a folder
+    of the run below ``target`` and checked there; only when every one has passed do they
+    take the places of the published ones, one after the other. The audit line is written
+    whatever happens; a failure is raised after it. The run's own intermediate tables are
+    deleted at the end, also after a failure.
     """
     options = options or Options()
     run_id = run_id or uuid.uuid4().hex
     status = audit.FAILED
+    scratch, own = scratch_path(spark, run_id), f"{target}/_run-{run_id}"
     try:
-        scratch = scratch_path(spark, run_id)
-        names = list(sources)
-        sales, products = load_sources(spark, sources, catalog, options, scratch)
-        build_products(products, target, options)
-        build_customers(sales, names, target, options, scratch)
-        build_fact(sales, names, target, options, scratch)
-        record_findings(sales, target, run_id)
+        with tuned(spark, size_of(spark, [*sources.values(), catalog])):
+            inputs = load_sources(spark, sources, catalog, options, scratch)
+            build_products(inputs, own, options)
+            build_customers(inputs, own, options, scratch)
+            build_fact(inputs, own, options, scratch)
+            record_findings(inputs, own, run_id)
+            for table in TABLES:
+                switch(spark, f"{own}/{table}", f"{target}/{table}")
+            found = spark.read.parquet(f"{own}/run_findings")
+            found.write.mode("append").parquet(f"{target}/run_findings")
         status = audit.SUCCEEDED
     finally:
+        remove(spark, scratch)
+        remove(spark, own)
         audit.append_run(spark, f"{target}/run_audit", PIPELINE_NAME, status, run_id)
     return run_id
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar import schemas
@@ -17,6 +17,7 @@ SRC = schemas.SOURCE
 
 # The outcomes of a payment.
 STATUSES = ["Successful", "Failed"]
+OTHER_STATUS = "other"
 
 
 def union_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
@@ -41,14 +42,23 @@ def dim_product(catalog: DataFrame) -> DataFrame:
     return clean_products(catalog).distinct()
 
 
-def valid_customers(sales: DataFrame) -> DataFrame:
-    """Contact columns of the rows whose contact details are complete and well formed."""
-    return sales.filter(
+def _contact_is_valid() -> Column:
+    return (
         rules.not_null(schemas.CUSTOMER_REQUIRED)
         & rules.not_blank(schemas.CUSTOMER_NOT_BLANK)
         & rules.email_is_valid(F.col("email"))
         & rules.phone_is_valid(F.col("phone"))
-    ).select(*schemas.CUSTOMER_REQUIRED, SRC)
+    )
+
+
+def valid_customers(sales: DataFrame) -> DataFrame:
+    """Contact columns of the rows whose contact details are complete and well formed."""
+    return sales.filter(_contact_is_valid()).select(*schemas.CUSTOMER_REQUIRED, SRC)
+
+
+def rejected_contacts(sales: DataFrame) -> DataFrame:
+    """The other rows: those that give the customer table nothing."""
+    return sales.filter(~F.coalesce(_contact_is_valid(), F.lit(False)))
 
 
 def hashed(
@@ -153,17 +163,24 @@ def fact_sales(sales: DataFrame) -> DataFrame:
 
 
 def status_split(fact: DataFrame) -> dict[str, DataFrame]:
-    """Successful and failed transactions apart. Repeated ids are two outcomes of one sale."""
-    return {status: fact.filter(F.col("payment_status") == status) for status in STATUSES}
+    """Successful and failed transactions apart, and any other status in a third part.
+
+    Repeated ids are two outcomes of one sale.
+    """
+    status = F.col("payment_status")
+    parts = {name: fact.filter(status == name) for name in STATUSES}
+    known = F.coalesce(status.isin(STATUSES), F.lit(False))
+    return parts | {OTHER_STATUS: fact.filter(~known)}
 
 
 def labelled_split(fact: DataFrame) -> DataFrame:
-    """Both parts of ``status_split`` in one pass, the part named in ``split``.
+    """All parts of ``status_split`` in one pass, the part named in ``split``.
 
-    Partitioning a write by ``split`` stores the two tables side by side.
+    Partitioning a write by ``split`` stores the tables side by side.
     """
-    label = F.concat(F.lower("payment_status"), F.lit("_sales"))
-    return fact.filter(F.col("payment_status").isin(STATUSES)).withColumn("split", label)
+    status = F.col("payment_status")
+    name = F.when(status.isin(STATUSES), F.lower(status)).otherwise(OTHER_STATUS)
+    return fact.withColumn("split", F.concat(name, F.lit("_sales")))
 
 
 def dim_date(fact: DataFrame) -> DataFrame:
@@ -177,19 +194,24 @@ def dim_date(fact: DataFrame) -> DataFrame:
     )
     day = F.col("date")
     return bounds.select(F.explode(F.sequence("first", "last")).alias("date")).select(
-        day,
+        day, *calendar_columns(day)
+    )
+
+
+def calendar_columns(day: Column) -> list[Column]:
+    """The calendar attributes of a day, null for no day."""
+    return [
         date_id(day).alias("date_id"),
         F.year(day).alias("year"),
         F.month(day).alias("month"),
         F.dayofmonth(day).alias("day"),
-    )
+    ]
 
 
 def star_enriched(
     fact: DataFrame,
     products: DataFrame,
     customers: DataFrame,
-    calendar: DataFrame,
     small_catalog: bool | None = None,
 ) -> DataFrame:
     """Every fact row with its product, customer and calendar attributes.
@@ -198,12 +220,12 @@ def star_enriched(
     stays. ``customers`` must hold one line per id and ``products`` one per
     product. Customers grow with the sales, so they are always shuffled, heavy ids
     spread; they come first, while the ids can be counted by reading one column.
-    The calendar is bounded (see ``dim_date``) and broadcast.
+    Every day of the fact is in its calendar, so the attributes follow from the day
+    itself and nothing is joined for them.
     """
     known = join_spread(fact, customers, "customer_id", "left")
     priced = join_dimension(known, products, "product_id", "left", small_catalog)
-    days = calendar.withColumnRenamed("date", "transaction_date")
-    return priced.join(F.broadcast(days), "transaction_date", "left")
+    return priced.select("*", *calendar_columns(F.col("transaction_date")))
 
 
 def masked_contacts(sales: DataFrame, keep_original: bool = True) -> DataFrame:

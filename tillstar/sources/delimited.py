@@ -47,9 +47,9 @@ def read_text(
     )
 
 
-def typed(text: DataFrame, schema: T.StructType) -> DataFrame:
+def typed(text: DataFrame, schema: T.StructType, *also: str) -> DataFrame:
     """Text columns as the contract's types; what does not convert becomes null."""
-    return text.select(*[_convert(f) for f in schema.fields])
+    return text.select(*[_convert(f) for f in schema.fields], *also)
 
 
 def _convert(field: T.StructField) -> Column:
@@ -58,6 +58,21 @@ def _convert(field: T.StructField) -> Column:
     return F.col(field.name).try_cast(field.dataType).alias(field.name)
 
 
+def lost_values(schema: T.StructType) -> Column:
+    """Per row of ``read_text`` the values that do not convert, and the line if it does not
+    split, as (column, value)."""
+    lost = [
+        F.when(
+            F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
+            F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("value")),
+        )
+        for f in schema.fields
+        if not isinstance(f.dataType, T.StringType)
+    ]
+    line = F.struct(F.lit(CORRUPT).alias("column"), F.col(CORRUPT).alias("value"))
+    return F.array_compact(F.array(*lost, F.when(F.col(CORRUPT).isNotNull(), line)))
+
+
 def contract_violations(text: DataFrame, schema: T.StructType) -> DataFrame:
     """Per column, the values that do not convert; and the lines that do not split."""
     lost = {
@@ -90,8 +105,20 @@ def landing_to_raw(
     """Copy one landing source to its own raw folder as quoted text.
 
     Nothing is typed or dropped on the way; all values stay text. A landing line
-    that does not split keeps its readable fields. The copy runs in as many tasks
+    that does not split keeps its readable fields in the copy and is set aside whole,
+    with those fields, as JSON in ``unsplit_path(raw)``. The copy runs in as many tasks
     as the source has splits.
     """
-    text = read_text(spark, landing, schema, multi_line, **landing_options).drop(CORRUPT)
-    text.write.mode("overwrite").options(**RAW_DIALECT, **KEEP_SPACES, quoteAll=True).csv(raw)
+    text = read_text(spark, landing, schema, multi_line, **landing_options)
+    copy = text.drop(CORRUPT).write.mode("overwrite")
+    copy.options(**RAW_DIALECT, **KEEP_SPACES, quoteAll=True).csv(raw)
+    text.filter(F.col(CORRUPT).isNotNull()).write.mode("overwrite").json(unsplit_path(raw))
+
+
+def unsplit_path(raw: str) -> str:
+    """Where the landing lines that do not split are kept."""
+    return f"{raw.rstrip('/')}_unsplit"
+
+
+def read_unsplit(spark: SparkSession, raw: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(_text_schema(schema)).json(unsplit_path(raw))

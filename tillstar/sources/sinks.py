@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -34,14 +35,16 @@ def write_table(
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of this machine.
+    Only a session whose tasks run inside the driver's own process may lack the setting; it
+    gets a folder for its lifetime, named in that setting from then on.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="tillstar-")
-    raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="tillstar-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -49,6 +52,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tillstar/{name}-{uuid.uuid4().hex}"
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and its file system, whatever store it is in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it exists."""
+    place, files = _located(spark, path)
+    files.delete(place, True)
+
+
+def switch(spark: SparkSession, checked: str, published: str) -> None:
+    """Put a checked folder in the place of a published one."""
+    new, files = _located(spark, checked)
+    old, _ = _located(spark, published)
+    files.mkdirs(old.getParent())
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise RuntimeError(f"{checked} could not be moved to {published}")
+
+
+def size_of(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of the files at ``paths``; what is not there counts as nothing."""
+    total = 0
+    for path in paths:
+        place, files = _located(spark, path)
+        total += files.getContentSummary(place).getLength() if files.exists(place) else 0
+    return total
+
+
 def staged(spark: SparkSession, name: str) -> Callable[[DataFrame], DataFrame]:
     """A function that stores a DataFrame once in the scratch folder and reads it back."""
     return lambda df: materialise(df, scratch_path(spark, name))
