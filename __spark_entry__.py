@@ -127,7 +127,18 @@ def landing_to_raw_catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def contract_violations(spark: SparkSession, folder: str) -> DataFrame:
-    text = _stack(list(_raw_sales(spark, folder).values()))
+    """Values lost in typing a raw copy in which some quantities and prices are words."""
+    words = {
+        "quantity": F.when(F.col("transaction_id") % 997 == 1, "many").otherwise(
+            F.col("quantity").cast("string")
+        ),
+        "price": F.when(F.col("transaction_id") % 499 == 2, "n/a").otherwise(
+            F.col("price").cast("string")
+        ),
+    }
+    sales = derived.sales(spark, folder)
+    spoiled = sales.withColumns(words)
+    text = _raw_copy(spark, spoiled.select(*sales.columns), schemas.SALES, "spoiled")
     return delimited.contract_violations(text, schemas.SALES)
 
 

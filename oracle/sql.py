@@ -3,30 +3,36 @@
 from __future__ import annotations
 
 RETAIL = """
-tagged AS (
+once AS (
   SELECT l_orderkey * 10 + l_linenumber AS transaction_id,
-         o_custkey AS customer_id,
+         CASE WHEN l_orderkey % 503 = 7 THEN NULL ELSE o_custkey END AS customer_id,
          CASE WHEN o_custkey % 250 = 1 THEN 'Shared Name' ELSE c_name END AS customer_name,
-         l_partkey AS product_id,
+         CASE WHEN l_orderkey % 601 = 3 THEN l_partkey + 10000000 ELSE l_partkey END AS product_id,
          CASE WHEN l_orderkey % 13 = 0 THEN NULL
               WHEN l_orderkey % 101 = 0 THEN p_retailprice + 1
               ELSE p_retailprice END AS price,
          CASE WHEN l_orderkey % 29 = 0 THEN upper(p_name) ELSE p_name END AS product_name,
-         p_type AS category,
+         CASE WHEN l_orderkey % 59 = 3 THEN 'UNKNOWN' ELSE p_type END AS category,
          CASE WHEN l_orderkey % 3 = 0 THEN 'Online' ELSE 'Offline' END AS purchase_location,
          CASE WHEN l_orderkey % 211 = 0 THEN '  ' ELSE n_name END AS city,
-         CASE WHEN l_orderkey % 5 <= 2 THEN strftime(l_shipdate, '%Y-%m-%d')
+         CASE WHEN l_orderkey % 401 = 1 THEN 'unknown'
+              WHEN l_orderkey % 409 = 1 THEN NULL
+              WHEN l_orderkey % 5 <= 2 THEN strftime(l_shipdate, '%Y-%m-%d')
               WHEN l_orderkey % 5 = 3 THEN strftime(l_shipdate, '%m-%d-%Y')
               ELSE strftime(l_shipdate, '%d-%m-%Y') END AS transaction_date,
-         CAST(CASE WHEN l_orderkey % 97 = 0 THEN -l_quantity ELSE l_quantity END AS INTEGER)
+         CAST(CASE WHEN l_orderkey % 307 = 5 THEN NULL
+                   WHEN l_orderkey % 97 = 0 THEN -l_quantity ELSE l_quantity END AS INTEGER)
            AS quantity,
          l_returnflag AS payment_method,
          CAST(CAST(round(l_discount * 100) AS INTEGER)
               * CASE WHEN l_orderkey % 89 = 0 THEN -1 ELSE 1 END AS DOUBLE) AS discount,
-         CASE WHEN o_custkey % 41 = 0 THEN 'user' || o_custkey || '.example.com'
+         CASE WHEN o_custkey % 113 = 5 THEN NULL
+              WHEN o_custkey % 127 = 5 THEN ''
+              WHEN o_custkey % 41 = 0 THEN 'user' || o_custkey || '.example.com'
               WHEN o_custkey % 300 = 7 THEN 'shared@example.com'
               ELSE 'user' || o_custkey || '@example.com' END AS email,
-         CAST(CASE WHEN o_custkey % 37 = 0 THEN 600000000 + o_custkey
+         CAST(CASE WHEN o_custkey % 131 = 5 THEN NULL
+                   WHEN o_custkey % 37 = 0 THEN 600000000 + o_custkey
                    ELSE 6000000000 + o_custkey END AS VARCHAR) AS phone,
          CASE WHEN l_linestatus = 'F' THEN 'FAILED' ELSE 'successful' END AS payment_status,
          CASE WHEN l_orderkey % 2 = 0 THEN 'retail1' ELSE 'retail2' END AS src
@@ -36,11 +42,24 @@ tagged AS (
   JOIN part ON l_partkey = p_partkey
   JOIN nation ON c_nationkey = n_nationkey
 ),
+tagged AS (
+  SELECT * FROM once
+  UNION ALL SELECT * FROM once WHERE (transaction_id // 10) % 223 = 5
+),
 retail AS (SELECT * EXCLUDE (src) FROM tagged),
-catalog AS (
-  SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
-         p_retailprice AS price
+catalog_once AS (
+  SELECT p_partkey AS product_id,
+         CASE WHEN p_partkey % 103 = 1 THEN '' ELSE p_name END AS product_name,
+         p_type AS category,
+         CASE WHEN p_partkey % 83 = 2 THEN NULL
+              WHEN p_partkey % 89 = 3 THEN 0.0
+              WHEN p_partkey % 97 = 4 THEN -p_retailprice
+              ELSE p_retailprice END AS price
   FROM part
+),
+catalog AS (
+  SELECT * FROM catalog_once
+  UNION ALL SELECT * FROM catalog_once WHERE product_id % 107 = 6
 )"""
 
 COLUMNS = [
@@ -74,6 +93,15 @@ DOMAINS = ["payment_method", "payment_status", "city", "purchase_location", "dis
 OTHERS = [c for c in COLUMNS if c != "transaction_id"]
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 
+# Where the raw copy holds a word in place of a number.
+SPOILED = {"quantity": "transaction_id % 997 = 1", "price": "transaction_id % 499 = 2"}
+
+# The first rule a row breaks; the other rules are never broken in this view.
+REASON = """CASE WHEN customer_id IS NULL THEN 'null:customer_id'
+  WHEN quantity IS NULL THEN 'null:quantity'
+  WHEN transaction_date IS NULL THEN 'null:transaction_date'
+  WHEN trim(city, ' ') = '' THEN 'blank:city' END"""
+
 FACT = r"""
 good AS (
   SELECT DISTINCT src, transaction_id, customer_id, product_id, quantity, city,
@@ -364,19 +392,24 @@ def statements() -> dict[str, str]:
             _filled("catalog: rows", _rows("catalog")),
         ]
     )
-    q["landing_to_raw"] = _with() + "SELECT * FROM tagged"
-    q["landing_to_raw_catalog"] = _with() + "SELECT * FROM catalog"
+    # An empty field of a delimited file is a missing value.
+    q["landing_to_raw"] = _with() + "SELECT * REPLACE (nullif(email, '') AS email) FROM tagged"
+    q["landing_to_raw_catalog"] = _with() + (
+        "SELECT * REPLACE (nullif(product_name, '') AS product_name) FROM catalog"
+    )
     q["contract_violations"] = _with() + _union(
         [
-            f"""SELECT '{c}' AS "column", CAST(0 AS BIGINT) AS lost"""
+            f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE {SPOILED.get(c, "false")}) AS lost
+FROM retail"""
             for c in [*NUMERIC, "_corrupt_line"]
         ]
     )
     q["csv_roundtrip"] = _with(FACT) + f"SELECT {FACT_COLUMNS} FROM fact"
     order = "transaction_id, payment_status, product_id, customer_id, price, quantity, discount"
+    first = f"{order}, transaction_date".replace(",", " NULLS FIRST,")
     q["preview_top_n"] = _with() + (
-        f"SELECT * FROM retail ORDER BY {order}, transaction_date NULLS FIRST LIMIT 10"
-    ).replace("price,", "price NULLS FIRST,")
+        f"SELECT * FROM retail ORDER BY {first} NULLS FIRST LIMIT 10"
+    )
     q["schema_report"] = _schema(COLUMNS, "retail")
     q["schema_report_catalog"] = _schema(
         ["product_id", "product_name", "category", "price"], "catalog"
@@ -544,11 +577,11 @@ FROM (SELECT product_id, count(*) AS n FROM catalog GROUP BY product_id)"""
     q["date_standardise"] = (
         _with()
         + """SELECT transaction_date,
-  strftime(CASE WHEN CAST(split_part(transaction_date, '-', 1) AS INTEGER) > 31
-                  THEN strptime(transaction_date, '%Y-%m-%d')
-                WHEN CAST(split_part(transaction_date, '-', 1) AS INTEGER) > 12
-                  THEN strptime(transaction_date, '%d-%m-%Y')
-                ELSE strptime(transaction_date, '%m-%d-%Y') END, '%Y-%m-%d') AS standard_date,
+  strftime(CASE WHEN try_cast(split_part(transaction_date, '-', 1) AS INTEGER) > 31
+                  THEN try_strptime(transaction_date, '%Y-%m-%d')
+                WHEN try_cast(split_part(transaction_date, '-', 1) AS INTEGER) > 12
+                  THEN try_strptime(transaction_date, '%d-%m-%Y')
+                ELSE try_strptime(transaction_date, '%m-%d-%Y') END, '%Y-%m-%d') AS standard_date,
   count(*) AS row_count FROM retail GROUP BY ALL"""
     )
 
@@ -582,18 +615,18 @@ FROM (SELECT product_id, count(*) AS n FROM catalog GROUP BY product_id)"""
     )
     q["rejected_sales"] = (
         _with()
-        + """SELECT tagged.*, 'blank:city' AS reject_reason FROM tagged
-WHERE trim(city, ' ') = ''"""
+        + f"SELECT * FROM (SELECT tagged.*, {REASON} AS reject_reason FROM tagged) "
+        + "WHERE reject_reason IS NOT NULL"
     )
-    kept = "trim(city, ' ') <> ''"
-    day, month = (f"CAST(split_part(transaction_date, '-', {i}) AS INTEGER)" for i in (1, 2))
+    kept = f"({REASON}) IS NULL"
+    day, month = (f"try_cast(split_part(transaction_date, '-', {i}) AS INTEGER)" for i in (1, 2))
     either = f"regexp_matches(transaction_date, '^[0-9][0-9]-') AND {day} <= 12 AND {month} <= 12"
     q["run_findings"] = _with() + _union(
         [
             f"SELECT '{name}' AS finding, count(*) FILTER (WHERE {test}) AS row_count FROM tagged"
             for name, test in [
                 ("rejected_rows", f"NOT ({kept})"),
-                ("unreadable_dates", "false"),
+                ("unreadable_dates", f"{kept} AND transaction_date = 'unknown'"),
                 ("ambiguous_dates", f"{kept} AND {either}"),
             ]
         ]
@@ -617,9 +650,9 @@ SELECT strftime(day, '%Y-%m-%d') AS "date", CAST(strftime(day, '%Y%m%d') AS INTE
             _equal(
                 "sales: accepted and rejected",
                 _rows("tagged"),
-                _rows("tagged", "trim(city, ' ') <> ''")
+                _rows("tagged", f"({REASON}) IS NULL")
                 + " + "
-                + _rows("tagged", "trim(city, ' ') = ''"),
+                + _rows("tagged", f"({REASON}) IS NOT NULL"),
             ),
         ]
     )
