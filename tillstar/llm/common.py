@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +19,30 @@ from tillstar.sources.sinks import scratch_path
 SLICE_BYTES = 256 * 1024
 
 
+# Rows that a task hands to Python at once while an intermediate table is written: texts are
+# long, and each batch is held by both sides.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of ``BATCH_ROWS`` for the jobs of a block; the session's setting returns."""
+    before = spark.conf.get(_BATCH_SETTING)
+    spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_SETTING, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_slices(

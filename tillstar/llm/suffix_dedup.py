@@ -2,7 +2,7 @@
 
 The strings of ``length`` bytes are compared through suffix arrays of text shards.
 
-* Each start gets the least hash of the 32-byte strings inside its window as its key. Equal
+* Each start gets the least hash of the 48-byte strings inside its window as its key. Equal
   windows have equal keys, so only keys that occur twice matter. A run of starts with one key
   is a context: the bytes its windows cover.
 * Equal contexts are counted before they move on; a repeated one repeats as a whole.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tillstar.llm.common import chosen, mix, spread, stored, text_key, text_slices
 
 LENGTH = 200
-GRAM = 32
+GRAM = 48
 # Different contexts of one key that a single shard may hold.
 KEY_CONTEXTS = 4_096
 # Bytes of context text sorted at once inside a task.
@@ -377,8 +377,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
     for batch in batches:
         spans = batch.column("spans").to_pylist()
-        rows = []
-        for low, _, data, offsets in text_slices(batch):
+        for low, high, data, offsets in text_slices(batch):
+            rows = []
             for i in range(len(offsets) - 1):
                 raw = data[offsets[i] : offsets[i + 1]]
                 at, removed, runs, left = 0, 0, 0, []
@@ -395,9 +395,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 left.append(raw[at:].tobytes())
                 kept = b"".join(left)
                 rows.append((len(raw), removed, runs, sha256(kept).hexdigest(), kept))
-        columns = list(zip(*rows, strict=True)) or [[]] * 5
-        arrays = [pa.array(c, schema.field(k + 1).type) for k, c in enumerate(columns)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], schema=schema)
+            columns = zip(*rows, strict=True)
+            arrays = [pa.array(c, schema.field(k + 1).type) for k, c in enumerate(columns)]
+            ids = batch.column("doc_id")[low:high]
+            yield pa.RecordBatch.from_arrays([ids, *arrays], schema=schema)
 
 
 def repeated_bytes_removed(
