@@ -412,6 +412,8 @@ def repeated_bytes_removed(
     docs = chosen(df, id_col, text_col).withColumn("tag", text_key())
     keyed = docs.mapInArrow(_keyed(length), "key long, doc_id long, tag long, n long")
     again = keyed.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
+    # Stored, so that the joins deal both sides anew and can split the rows of a hot key.
+    again = stored(again, "keys")
     hits = keyed.drop("n").join(again, "key")
     hits = hits.groupBy("doc_id", "tag").agg(F.collect_set("key").alias("keys"))
     same_row = docs["doc_id"].eqNullSafe(hits["doc_id"]) & (docs["tag"] == hits["tag"])
@@ -440,6 +442,7 @@ def repeated_bytes_removed(
     )
     spans = whole.union(sorted_.filter("size(spans) > 0")).union(counted)
     spans = spans.groupBy("digest").agg(F.flatten(F.collect_set("spans")).alias("spans"))
+    spans = stored(spans, "spans")
     pairs = F.transform(
         F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2)),
         lambda i: F.struct(
