@@ -101,6 +101,25 @@ def test_search_sets_long_lists_aside_without_losing_links():
         assert search.links(q).tolist() == expected
 
 
+def test_roots_on_random_chains():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        sets = []
+        for _ in range(3):
+            own = rng.integers(0, 400, 60)
+            for _ in range(int(rng.integers(2, 7))):
+                sets.append(np.unique(own).astype(np.uint64))
+                own = np.where(rng.random(60) < 0.12, rng.integers(0, 400, 60), own)
+        sets = [sets[k] for k in rng.permutation(len(sets))]
+        label = np.arange(len(sets))
+        search = jaccard_join.Search(sets, 75)
+        for own in [search.links(q) for q in range(len(sets))] * len(sets):
+            label[np.isin(label, label[own])] = label[own].min()
+        found = jaccard_join.roots(sets, 75)
+        for a in range(len(sets)):
+            assert (found[a] == found).tolist() == (label[a] == label).tolist()
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)]

@@ -13,7 +13,8 @@
   in the long lists by binary search. A member of the largest component so far needs no
   search of its own: any link to another component is found from the other side.
 * A block of more than ``piece_tokens`` shingles is cut. Each piece is searched together with
-  one hub of the block; classes not linked to the hub are then searched against every piece.
+  one hub of the block; classes not linked to the hub are then searched against every piece,
+  in chunks of as many shingles, so no task holds more than one piece and one chunk.
 
 Nulls and empty texts have no shingles and stay alone. Rows that repeat an id are each
 judged by their own text. Extra columns are ignored.
@@ -26,7 +27,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.llm.common import chosen, components, spread, stored, text_slices
@@ -216,13 +217,24 @@ def roots(sets: list[np.ndarray], percent: int, asked: np.ndarray | None = None)
     if len(sets) < 2:
         return label
     search = Search(sets, percent)
-    for query in range(len(sets)) if asked is None else asked:
-        main = np.bincount(label).argmax()
-        if asked is None and query and label[query] == main:
-            continue
+
+    def link(query):
         found = np.unique(label[search.links(query)])
         if len(found) > 1:
             label[np.isin(label, found)] = found[0]
+
+    left = []
+    for query in range(len(sets)) if asked is None else asked:
+        if asked is None and query and label[query] == np.bincount(label).argmax():
+            left.append(query)
+        else:
+            link(query)
+    # What was largest when a query was left out may not be in the end. Only links inside one
+    # component may stay unasked.
+    main = int(np.bincount(label).argmax())
+    for query in left:
+        if label[query] != label[main]:
+            link(query)
     return label
 
 
@@ -311,23 +323,25 @@ def near_duplicates(
     )
     classes = stored(classes, "classes")
     members = classes.join(blocks, "node").select("rep", "check", "n_shingles", "root")
-    pieces = members.groupBy("root").agg(
-        F.ceil(F.sum("n_shingles") / piece_tokens).cast("int").alias("pieces")
-    )
-    members = stored(members.join(pieces, "root"), "members")
-    own = F.xxhash64("root", F.pmod(F.xxhash64("check"), F.col("pieces").cast("long")))
-    placed = members.withColumn("block", own).withColumn("role", F.lit(MEMBER))
+    # Stored, so that the join deals both sides anew and can split the rows of a hot block.
+    pieces = stored(_shares(members, "pieces", piece_tokens).filter("pieces > 1"), "pieces")
+    members = members.join(pieces, "root", "left")
+    members = stored(members.withColumn("pieces", F.coalesce("pieces", F.lit(1))), "members")
+    members = members.withColumn("piece", _part("pieces")).withColumn("chunk", F.lit(-1))
+    placed = _in_blocks(members, MEMBER)
     cut = members.filter("pieces > 1")
-    least = F.min(F.struct("check", "rep", "n_shingles", "pieces"))
+    least = F.min(F.struct("check", "rep", "n_shingles", "pieces", "chunk"))
     hub = cut.groupBy("root").agg(least.alias("h"))
-    hubs = _everywhere(hub.select("root", "h.*"), HUB)
+    hubs = _in_blocks(_repeated_over("pieces", hub.select("root", "h.*"), "piece"), HUB)
     links = stored(_search(placed.unionByName(hubs), docs, size, percent), "links")
     found = links.select(F.col("rep").alias("a"), F.col("root").alias("b"))
     if not cut.isEmpty():
         apart = links.filter("apart").select("rep").distinct()
-        asked = _everywhere(cut.join(apart, "rep", "left_semi"), ASKED)
-        rest = placed.filter("pieces > 1")
-        rest = rest.join(asked.select("block").distinct(), "block", "left_semi")
+        asked = stored(cut.join(apart, "rep", "left_semi"), "asked")
+        chunks = stored(_shares(asked, "chunks", piece_tokens), "chunks")
+        asked = asked.join(chunks, "root").withColumn("chunk", _part("chunks"))
+        asked = _in_blocks(_repeated_over("pieces", asked, "piece"), ASKED)
+        rest = _in_blocks(_repeated_over("chunks", cut.join(chunks, "root"), "chunk"), MEMBER)
         more = _search(rest.unionByName(asked), docs, size, percent)
         found = found.union(more.select("rep", "root"))
     joined = components(found).withColumnRenamed("node", "rep")
@@ -342,9 +356,22 @@ def near_duplicates(
     )
 
 
-def _everywhere(classes: DataFrame, role: int) -> DataFrame:
-    """The classes placed in every piece of their block."""
-    piece = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
-    placed = classes.withColumn("piece", piece)
-    block = F.xxhash64("root", F.col("piece").cast("long"))
-    return placed.withColumn("block", block).withColumn("role", F.lit(role)).drop("piece")
+def _shares(classes: DataFrame, name: str, tokens: int) -> DataFrame:
+    """Per block how many parts of about ``tokens`` shingles its classes need."""
+    parts = F.ceil(F.sum("n_shingles") / tokens).cast("int")
+    return classes.groupBy("root").agg(parts.alias(name))
+
+
+def _part(parts: str) -> Column:
+    return F.pmod(F.xxhash64("check"), F.col(parts).cast("long")).cast("int")
+
+
+def _repeated_over(parts: str, classes: DataFrame, name: str) -> DataFrame:
+    """Every class once for each of the ``parts`` of its block."""
+    return classes.withColumn(name, F.explode(F.sequence(F.lit(0), F.col(parts) - 1)))
+
+
+def _in_blocks(classes: DataFrame, role: int) -> DataFrame:
+    """What meets in one task: the classes of a piece, and a chunk of those asked there."""
+    block = F.xxhash64("root", "piece", "chunk").alias("block")
+    return classes.select("rep", "check", "pieces", block, F.lit(role).alias("role"))
