@@ -101,6 +101,13 @@ def test_search_sets_long_lists_aside_without_losing_links():
         assert search.links(q).tolist() == expected
 
 
+def test_roots_keep_links_between_components_that_were_largest_in_turn():
+    # Windows of 100 link up to a distance of 14: the first finds two others, the fourth three;
+    # only the link of the second and the fifth (110 and 124) joins them.
+    sets = [np.arange(p, p + 100, dtype=np.uint64) for p in (100, 110, 95, 134, 124, 136, 138)]
+    assert len(set(jaccard_join.roots(sets, 75).tolist())) == 1
+
+
 def test_roots_on_random_chains():
     rng = np.random.default_rng(9)
     for _ in range(300):
