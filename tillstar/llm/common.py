@@ -104,14 +104,16 @@ def components(edges: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
+        # Stored, so that the join deals both sides anew and can split the rows of a hot node.
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m")), "least")
         large = (
             both.filter("b > a")
             .join(least.withColumn("m", F.least("a", "m")), "a")
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .distinct()
         )
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = stored(large, "edges")
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         ends = F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))
         small = (
             large.join(least, "a")
