@@ -202,3 +202,20 @@ def test_quality_without_labels_or_columns(documents, no_documents, spark):
     bare = documents.select("doc_id", "text").withColumn("quality_score", F.lit("old"))
     scored = quality.with_quality(bare, known).collect()
     assert len(scored) == bare.count() and all(0 <= r.quality_score <= 1 for r in scored)
+
+
+def test_names_have_slots_of_their_own():
+    names = ["en", "de", "fr", "es", "web", "news", "forum", *(f"src{k}" for k in range(20)), None]
+    slots = quality._slots(names).tolist()
+    assert len(set(slots)) == len(names) and slots[-1] == 0
+
+
+def test_quality_that_follows_the_source_only(spark):
+    rng = random.Random(31)
+    rows = [(k, prose(rng, 40), "en", f"s{rng.randrange(6)}", 300) for k in range(800)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    labels = [(r[0], int(r[3] not in ("s1", "s4")), 0) for r in rows]
+    known = spark.createDataFrame(labels[:500], "doc_id long, quality int, toxic int")
+    truth = {k: q for k, q, _ in labels}
+    later = quality.with_quality(docs, known).filter("doc_id >= 500").collect()
+    assert sum((r.quality_score >= 0.5) == bool(truth[r.doc_id]) for r in later) >= 0.97 * len(later)

@@ -19,6 +19,7 @@ nothing is rejected. Repeated rows are scored one by one. Other columns are kept
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from tillstar.llm.common import appended, text_slices
 from tillstar.llm.shingles import word_hashes
 
-SLOTS, NAMES = 512, 32
+SLOTS, NAMES = 512, 1024
 LABELLED, POOL = 3_000, 6_000
 ROUNDS, SURE, SHARE = 6, 0.95, 0.05
 KEEP_FROM = 0.5
@@ -77,16 +78,27 @@ def content(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.concatenate([np.sqrt(share), whole], axis=1)
 
 
-def _named(values: list[str | None]) -> np.ndarray:
-    """One-hot slots of names, null in the first."""
-    out = np.zeros((len(values), NAMES))
-    for k, v in enumerate(values):
-        slot = 0 if v is None else 1 + sum(v.encode()) * 31 % (NAMES - 1)
-        out[k, slot] = 1
-    return out
+def _slots(values: list[str | None]) -> np.ndarray:
+    """Slots of names by their hash, null in the first."""
+    return np.array([0 if v is None else 1 + crc32(v.encode()) % (NAMES - 1) for v in values])
+
+
+def _opened(view: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Metadata with one column for each slot that occurs, and the weights' places they have."""
+    slots = view[:, _KINDS:].astype(np.int64) + np.array([0, NAMES]) + _KINDS
+    used = np.unique(slots)
+    named = (slots[:, :1] == used) | (slots[:, 1:] == used)
+    places = np.concatenate([np.arange(_KINDS), used])
+    return np.concatenate([view[:, :_KINDS], named], axis=1), places
+
+
+def _metadata_logits(view: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    slots = view[:, _KINDS:].astype(np.int64) + np.array([0, NAMES]) + _KINDS
+    return view[:, :_KINDS] @ weights[:_KINDS] + weights[slots].sum(axis=1)
 
 
 def metadata(data, offsets, langs, sources, stated) -> np.ndarray:
+    """Per text ``_KINDS`` numbers, then the slots of its language and of its source."""
     n = len(offsets) - 1
     text = np.repeat(np.arange(n), np.diff(offsets))
     kinds = np.bincount(text * 8 + _KIND[data], minlength=n * 8).reshape(n, 8)
@@ -106,7 +118,7 @@ def metadata(data, offsets, langs, sources, stated) -> np.ndarray:
         *(kinds[:, k] / np.maximum(size, 1) for k in (1, 2, 3, 5, 6)),
         size == 0,
     ]
-    return np.concatenate([np.stack(numbers, 1), _named(langs), _named(sources)], axis=1)
+    return np.stack([*numbers, _slots(langs), _slots(sources)], 1)
 
 
 def _views(batch: pa.RecordBatch, text_col: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -227,9 +239,13 @@ def fitted(
         np.array([np.frombuffer(r[k], np.float32) for r in rows], np.float64).reshape(len(rows), n)[
             order
         ]
-        for k, n in ((2, SLOTS + 3), (3, _KINDS + 2 * NAMES))
+        for k, n in ((2, SLOTS + 3), (3, _KINDS + 2))
     ]
-    return cotrained(views, label)
+    told, places = _opened(views[1])
+    (inner, outer), shift = cotrained([views[0], told], label)
+    weights = np.zeros(_KINDS + 2 * NAMES)
+    weights[places] = outer
+    return (inner, weights), shift
 
 
 def with_quality(
@@ -244,10 +260,10 @@ def with_quality(
     shared = df.sparkSession.sparkContext.broadcast(fitted(df, labels, id_col, text_col, **sample))
 
     def make(batch: pa.RecordBatch):
-        weights, bias = shared.value
+        (inner, outer), bias = shared.value
         logits = [
-            sum(v @ w for v, w in zip(views, weights, strict=True)) + bias
-            for views in _views(batch, text_col)
+            text @ inner + _metadata_logits(told, outer) + bias
+            for text, told in _views(batch, text_col)
         ]
         logits = np.concatenate([*logits, np.zeros(0)])
         return [1 / (1 + np.exp(-np.clip(logits, -50, 50)))]
