@@ -116,6 +116,41 @@ def test_urls_without_training_rows(spark):
     assert url_filter.judged(few.limit(0)).count() == 0
 
 
+def test_contexts_count_alike_at_every_size(spark):
+    rng = random.Random(14)
+    urls = [f"https://{h}/{rng.randrange(10**9)}" for _ in range(2500)
+            for h in ("www.example.com/en", "b.example.com/en", "x.org")]
+    order, models = url_filter.ORDER, {"allow": {}, "block": {}}
+    for u in urls:
+        verdict = decided(*parts(u))[1]
+        if verdict and zlib.crc32(u.encode()) % 5:
+            padded = url_filter.START * order + u
+            for at in range(order, len(padded)):
+                for k in range(order + 1):
+                    models[verdict].setdefault(padded[at - k : at], Counter())[padded[at]] += 1
+    # Beyond 40,000 characters, contexts of few occurrences count as they do below.
+    assert min(m[""].total() for m in models.values()) > 60_000
+
+    def chance(model, context, char):
+        shorter = chance(model, context[1:], char) if context else 1 / url_filter.ALPHABET
+        f = model.get(context, Counter())
+        if context and f.total() < 2:
+            return shorter
+        return (f[char] + len(f) * shorter) / (f.total() + len(f))
+
+    def ratio(u):
+        padded = url_filter.START * order + u
+        both = [[chance(models[v], padded[k - order : k], padded[k]) for k in range(order, len(padded))]
+                for v in ("allow", "block")]
+        return sum(log(b) - log(a) for a, b in zip(*both, strict=True)) / len(u)
+
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r.page_id: r.score for r in url_filter.judged(df).collect()}
+    assert len(found) == len(urls)
+    for k in range(0, len(urls), 25):
+        assert found[k] == pytest.approx(ratio(urls[k]), abs=1e-9)
+
+
 FIXTURES = [
     (None, ""),
     ("", ""),
