@@ -191,3 +191,17 @@ def test_pages_keep_their_columns(spark):
         k: html_text.visible_text(h) for k, (h, _) in enumerate(FIXTURES)
     }
     assert html_text.with_text(df.limit(0)).count() == 0
+
+
+def test_deep_elements_are_laid_out_like_others():
+    def deep(inner, levels=400):
+        return "<div>" * levels + inner + "</div>" * levels
+
+    assert html_text.visible_text(deep("a<p hidden>no</p><i style='display:none'>no</i>b")) == "ab"
+    assert html_text.visible_text(deep("<ul><li>a<li>b</ul>")) == "* a\n* b"
+    assert html_text.visible_text(deep("<table><tr><td>aa<td>b<tr><td>c<td>d</table>")) == "aa  b\nc   d"
+    # The end tags of deep elements do not end a hidden ancestor of the same name.
+    hidden = "<div>" * 120 + "<div hidden>" + deep("no") + "no</div>yes"
+    assert html_text.visible_text(hidden) == "yes"
+    assert html_text.visible_text("<b>" * 50_000 + "x") == "x"
+    assert html_text.visible_text("<div>" * 50_000 + "x") == "x"

@@ -8,14 +8,16 @@ line, lists have bullets or numbers and are indented, preformatted text keeps it
 table cells are padded into columns.
 
 Null and empty pages give an empty text, text without any tag is one paragraph. Broken markup
-never fails: an unclosed tag or comment reaches to the end of the page. Elements nested deeper
-than ``DEEPEST`` levels continue at that level with all their text. Rows are rendered one by
-one, repeated ids included; other columns are kept.
+never fails: an unclosed tag or comment reaches to the end of the page. Elements may be nested
+to any depth: what renders them keeps its own stack. Rows are rendered one by one, repeated ids
+included; other columns are kept.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Generator
 from html import unescape
 
 import pyarrow as pa
@@ -23,8 +25,6 @@ from pyspark.sql import DataFrame
 
 from tillstar.llm.common import appended
 
-DEEPEST = 150
-
 # Fixed values of HTML: element names by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -90,69 +90,80 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
-def _close(stack: list[Node], tags, fence=frozenset()) -> None:
-    """Ends the outermost open element of ``tags`` above the next ``fence``."""
-    at = None
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag in fence:
-            break
-        if stack[k].tag in tags:
-            at = k
-    if at is not None:
-        del stack[at:]
+class Open:
+    """Open elements from the page inwards, and the places of each tag among them."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {}
+
+    def last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, at: int) -> None:
+        while len(self.nodes) > at:
+            self.places[self.nodes.pop().tag].pop()
+
+    def close(self, tags, fence=frozenset()) -> None:
+        """Ends the outermost open element of ``tags`` above the next ``fence``."""
+        above, found = self.last(fence), []
+        for places in filter(None, map(self.places.get, tags)):
+            found += places[bisect_right(places, above) :][:1]
+        if found:
+            self.cut(min(found))
+
+    def close_last(self, tag: str, fence) -> None:
+        """Ends the innermost open ``tag`` above the next ``fence``; a stray end tag does nothing."""
+        at = self.last([tag])
+        if at and at >= self.last(fence):
+            self.cut(at)
 
 
 def parsed(html: str) -> Node:
     """The tree of a page."""
     root = Node("#page")
-    stack, at = [root], 0
+    stack, at = Open(root), 0
     for token in iter(lambda: _TOKEN.search(html, at), None):
         if token.start() > at:
-            stack[-1].children.append(unescape(html[at : token.start()]))
+            stack.nodes[-1].children.append(unescape(html[at : token.start()]))
         at = token.end()
         closing, tag, rest = token.group(1), (token.group(2) or "").lower(), token.group(3) or ""
         if not tag:
             if token.group().startswith("<![CDATA["):
-                stack[-1].children.append(token.group()[9:].removesuffix("]]>"))
+                stack.nodes[-1].children.append(token.group()[9:].removesuffix("]]>"))
         elif closing:
-            if tag == "p" and not any(n.tag == "p" for n in stack):
-                stack[-1].children.append(Node("p"))
+            if tag == "p" and not stack.places.get("p"):
+                stack.nodes[-1].children.append(Node("p"))
             elif tag == "br":
-                stack[-1].children.append(Node("br"))
+                stack.nodes[-1].children.append(Node("br"))
             else:
                 fence = {"table", "td", "th"} if tag not in ENDS and tag != "table" else {"table"}
-                _close_last(stack, tag, fence if tag != "table" else frozenset())
+                stack.close_last(tag, fence if tag != "table" else frozenset())
         else:
-            if stack[-1].tag == "head" and tag not in HEAD_ONLY:
-                stack.pop()
+            if stack.nodes[-1].tag == "head" and tag not in HEAD_ONLY:
+                stack.cut(len(stack.nodes) - 1)
             if tag in BLOCKS or tag in SPACED or tag == "hr":
-                _close(stack, {"p"}, {"table", "td", "th", "button", "caption"})
+                stack.close({"p"}, {"table", "td", "th", "button", "caption"})
             if tag in ENDS:
-                _close(stack, ENDS[tag], FENCES.get(tag, frozenset()))
+                stack.close(ENDS[tag], FENCES.get(tag, frozenset()))
             node = Node(tag, _attributes(rest) if rest else None)
-            stack[-1].children.append(node)
+            stack.nodes[-1].children.append(node)
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
                 inner = html[at : end.start() if end else len(html)]
                 node.children.append(unescape(inner) if tag in ("textarea", "title") else inner)
                 at = end.end() if end else len(html)
-            elif tag not in VOID and len(stack) < DEEPEST:
-                stack.append(node)
+            elif tag not in VOID:
+                stack.push(node)
     if at < len(html):
-        stack[-1].children.append(unescape(html[at:]))
+        stack.nodes[-1].children.append(unescape(html[at:]))
     return root
 
 
-def _close_last(stack: list[Node], tag: str, fence) -> None:
-    """Ends the innermost open ``tag`` above the next ``fence``; a stray end tag does nothing."""
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag == tag:
-            del stack[k:]
-            return
-        if stack[k].tag in fence:
-            return
-
-
 class Page:
     """Lines of text in the making: words join a line until something ends it."""
 
@@ -227,9 +238,22 @@ def _unseen(node: Node) -> bool:
     return node.tag == "input" and a.get("type", "").lower() == "hidden"
 
 
-def _rendered(children: list, pre: bool = False) -> list[str]:
+def _run(task: Generator):
+    """The result of ``task``, a generator that hands out the tasks whose results it needs."""
+    stack, value = [task], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as end:
+            stack.pop()
+            value = end.value
+    return value
+
+
+def _rendered(children: list, pre: bool = False) -> Generator:
     page = Page()
-    _flow(page, children, pre)
+    yield _flow(page, children, pre)
     return page.done()
 
 
@@ -237,7 +261,7 @@ def _number(text: str | None, other: int) -> int:
     return int(text) if text and re.fullmatch(r"\s*-?\d{1,9}\s*", text) else other
 
 
-def _flow(page: Page, children: list, pre: bool) -> None:
+def _flow(page: Page, children: list, pre: bool) -> Generator:
     for child in children:
         if isinstance(child, str):
             page.kept(child) if pre else page.words(child)
@@ -254,33 +278,33 @@ def _flow(page: Page, children: list, pre: bool) -> None:
         elif tag == "input":
             page.words(f" {child.attributes.get('value', '')} ")
         elif tag == "table":
-            page.nested(_table(child), "", "", spaced=True)
+            page.nested((yield _table(child)), "", "", spaced=True)
         elif tag in LISTS:
-            page.nested(_list(child, pre), "", "", spaced=True)
+            page.nested((yield _list(child, pre)), "", "", spaced=True)
         elif tag == "blockquote":
-            page.nested(_rendered(child.children, pre), "    ", "    ", spaced=True)
+            page.nested((yield _rendered(child.children, pre)), "    ", "    ", spaced=True)
         elif tag == "dd":
-            page.nested(_rendered(child.children, pre), "    ", "    ", spaced=False)
+            page.nested((yield _rendered(child.children, pre)), "    ", "    ", spaced=False)
         elif tag in SPACED:
             page.space()
             inner = child.children
             if tag in ("pre", "xmp") and inner and isinstance(inner[0], str):
                 inner = [inner[0].removeprefix("\n"), *inner[1:]]
-            _flow(page, inner, pre or tag in ("pre", "xmp"))
+            yield _flow(page, inner, pre or tag in ("pre", "xmp"))
             page.space()
         elif tag in BLOCKS or tag in ("tr", "caption"):
             page.end_line()
-            _flow(page, child.children, pre)
+            yield _flow(page, child.children, pre)
             page.end_line()
         elif tag in ("td", "th"):
             page.words(" ")
-            _flow(page, child.children, pre)
+            yield _flow(page, child.children, pre)
             page.words(" ")
         else:
-            _flow(page, child.children, pre or tag == "textarea")
+            yield _flow(page, child.children, pre or tag == "textarea")
 
 
-def _list(node: Node, pre: bool) -> list[str]:
+def _list(node: Node, pre: bool) -> Generator:
     """Items after a bullet or their number, other content in between."""
     page = Page()
     step = -1 if "reversed" in node.attributes else 1
@@ -288,14 +312,14 @@ def _list(node: Node, pre: bool) -> list[str]:
     number = _number(node.attributes.get("start"), items if step < 0 else 1)
     for child in node.children:
         if not isinstance(child, Node) or child.tag != "li":
-            _flow(page, [child], pre)
+            yield _flow(page, [child], pre)
             continue
         if _unseen(child):
             continue
         number = _number(child.attributes.get("value"), number)
         mark = f"{number}. " if node.tag == "ol" else "* "
         number += step
-        page.nested(_rendered(child.children, pre) or [""], mark, " " * len(mark), spaced=False)
+        page.nested((yield _rendered(child.children, pre)) or [""], mark, " " * len(mark), spaced=False)
     return page.done()
 
 
@@ -314,22 +338,22 @@ def _rows(node: Node) -> list[Node]:
     return parts[0] + parts[1] + parts[2]
 
 
-def _table(node: Node) -> list[str]:
+def _table(node: Node) -> Generator:
     """Caption and stray content, then rows with cells padded to the width of their column."""
     shown = set(map(id, _rows(node)))
     page = Page()
     for child in node.children:
         if isinstance(child, str) or child.tag not in ("tr", "thead", "tbody", "tfoot", "colgroup"):
-            _flow(page, [child], False)
+            yield _flow(page, [child], False)
         elif child.tag in ("thead", "tbody", "tfoot"):
-            _flow(page, [c for c in child.children if id(c) not in shown], False)
+            yield _flow(page, [c for c in child.children if id(c) not in shown], False)
     grid: list[list[tuple[int, list[str]]]] = []
     held: dict[int, int] = {}
     for row in _rows(node):
         cells, column = [], 0
         for cell in row.children:
             if isinstance(cell, str) or cell.tag not in ("td", "th"):
-                _flow(page, [cell], False)
+                yield _flow(page, [cell], False)
                 continue
             while held.get(column, 0) > 0:
                 column += 1
@@ -337,7 +361,7 @@ def _table(node: Node) -> list[str]:
                 continue
             wide = min(max(_number(cell.attributes.get("colspan"), 1), 1), 1000)
             tall = max(_number(cell.attributes.get("rowspan"), 1), 1)
-            cells.append((column, _rendered(cell.children)))
+            cells.append((column, (yield _rendered(cell.children))))
             for k in range(column, column + wide):
                 held[k] = tall
             column += wide
@@ -367,7 +391,7 @@ def _table(node: Node) -> list[str]:
 
 def visible_text(html: str | None) -> str:
     """The page's text as it is laid out."""
-    return "\n".join(_rendered([parsed(html)])) if html else ""
+    return "\n".join(_run(_rendered([parsed(html)]))) if html else ""
 
 
 def with_text(df: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:
