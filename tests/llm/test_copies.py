@@ -86,6 +86,22 @@ def test_near_duplicates(documents, piece_tokens):
     assert sorted(map(tuple, got)) == brute_near(pairs(documents))
 
 
+@pytest.mark.parametrize("piece_tokens", [jaccard_join.PIECE_TOKENS, 150])
+def test_near_copies_without_or_with_repeated_ids(spark, piece_tokens):
+    rng = random.Random(17)
+    texts = [prose(rng, 80) for _ in range(4)]
+    near = [t + " tail" for t in texts]
+    rows = [(None, texts[0]), (7, near[0]), (None, texts[1]), (None, near[1]), (None, texts[2])]
+    rows += [(5, texts[3]), (5, prose(rng, 80)), (3, near[3]), (9, texts[2]), (5, near[1] + " end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.near_duplicates(df, piece_tokens=piece_tokens).collect()
+    expected = [(-1, 7), (7, 7), (-1, 5), (-1, 5), (-1, 9), (5, 3), (5, 5), (3, 3), (9, 9), (5, 5)]
+    none = [(r.doc_id, r.component_id) for r in got]
+    assert sorted((-1 if a is None else a, -1 if b is None else b) for a, b in none) == sorted(expected)
+    alone = jaccard_join.near_duplicates(df.filter("doc_id is null")).collect()
+    assert len(alone) == 4 and {r.component_id for r in alone} == {None}
+
+
 def test_search_sets_long_lists_aside_without_losing_links():
     rng = np.random.default_rng(4)
     base = np.arange(100, 200, dtype=np.uint64)

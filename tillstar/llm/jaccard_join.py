@@ -16,8 +16,9 @@
   one hub of the block; classes not linked to the hub are then searched against every piece,
   in chunks of as many shingles, so no task holds more than one piece and one chunk.
 
-Nulls and empty texts have no shingles and stay alone. Rows that repeat an id are each
-judged by their own text. Extra columns are ignored.
+Classes are told apart by their sets' digests; ids are attached at the end. Nulls and empty
+texts have no shingles and stay alone. Rows that repeat an id, or have none, are each judged by
+their own text; a group of rows without any id has none. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import chosen, components, spread, stored, text_slices
+from tillstar.llm.common import chosen, components, spread, stored, text_key, text_slices
 from tillstar.llm.shingles import shingle_sets
 
 # Part of the hash space whose tokens are counted, and the count above which all are alike.
@@ -65,7 +66,7 @@ def _first(tokens: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _sized(size: int, percent: int):
-    names = ("doc_id", "n_shingles", "node", "check", "spare")
+    names = ("doc_id", "tag", "n_shingles", "node", "check", "spare")
     schema = pa.schema([(c, pa.int64()) for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +75,7 @@ def _sized(size: int, percent: int):
             spare = [len(_first(s, percent)) - _needed(len(s), percent) for s in sets]
             columns = [[len(s) for s in sets], *zip(*marks, strict=True), spare]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id")[low:high], *[pa.array(c, pa.int64()) for c in columns]],
+                [batch.column(c)[low:high] for c in names[:2]] + [*[pa.array(c, pa.int64()) for c in columns]],
                 schema=schema,
             )
 
@@ -239,25 +240,29 @@ def roots(sets: list[np.ndarray], percent: int, asked: np.ndarray | None = None)
 
 
 def _searched(size: int, percent: int):
-    """Blocks, sorted by key, to (rep, root, hubless): the least rep each class is linked to."""
-    schema = pa.schema([("rep", pa.int64()), ("root", pa.int64()), ("apart", pa.bool_())])
+    """Blocks, sorted by key, to (node, check) of each class, of the least class it is linked
+    to, and whether it is apart from the hub."""
+    names = ("node", "check", "root_node", "root_check")
+    schema = pa.schema([*[(c, pa.int64()) for c in names], ("apart", pa.bool_())])
 
     def block(held):
-        sets, rep = [h[0] for h in held], np.array([h[1] for h in held])
-        role = np.array([h[2] for h in held])
+        sets = [h[0] for h in held]
+        node, check, role = (np.array([h[k] for h in held]) for k in (1, 2, 3))
         asked = np.flatnonzero(role == ASKED) if (role == ASKED).any() else None
         label = roots(sets, percent, asked)
-        least = np.full(len(held), np.iinfo(np.int64).max)
-        np.minimum.at(least, label, rep)
+        order = np.lexsort((check, node))
+        place, least = np.argsort(order), np.full(len(held), len(held))
+        np.minimum.at(least, label, place)
+        root = order[least[label]]
         hub = np.isin(label, label[role == HUB])
         return pa.RecordBatch.from_arrays(
-            [pa.array(rep), pa.array(least[label]), pa.array(~hub)], schema=schema
+            [pa.array(x) for x in (node, check, node[root], check[root], ~hub)], schema=schema
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, current, marks = [], None, set()
         for batch in batches:
-            rows = {c: batch.column(c).to_pylist() for c in ("block", "rep", "role", "check")}
+            rows = {c: batch.column(c).to_pylist() for c in ("block", "node", "role", "check")}
             for low, high, data, offsets in text_slices(batch):
                 for i, tokens in enumerate(shingle_sets(data, offsets, size), low):
                     if rows["block"][i] != current:
@@ -267,7 +272,7 @@ def _searched(size: int, percent: int):
                     mark = _digest(tokens)
                     if len(tokens) and mark not in marks and mark[1] == rows["check"][i]:
                         marks.add(mark)
-                        held.append((tokens, rows["rep"][i], rows["role"][i]))
+                        held.append((tokens, rows["node"][i], rows["check"][i], rows["role"][i]))
         if held:
             yield block(held)
 
@@ -279,11 +284,18 @@ def _search(placed: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
 
     The placed classes grow with the input, so this is a merge join at every size.
     """
-    rows = placed.hint("merge").join(docs, placed["rep"].eqNullSafe(docs["doc_id"])).select(
-        "block", "rep", "role", "check", "text"
+    same = placed["doc_id"].eqNullSafe(docs["doc_id"]) & (placed["tag"] == docs["tag"])
+    rows = placed.hint("merge").join(docs, same).select("block", "node", "role", "check", "text")
+    dealt = rows.repartition("block").sortWithinPartitions("block", F.desc("role"), "node", "check")
+    return dealt.mapInArrow(
+        _searched(size, percent),
+        "node long, check long, root_node long, root_check long, apart boolean",
     )
-    dealt = rows.repartition("block").sortWithinPartitions("block", F.desc("role"), "rep")
-    return dealt.mapInArrow(_searched(size, percent), "rep long, root long, apart boolean")
+
+
+def _edges(links: DataFrame) -> DataFrame:
+    root = F.struct(F.col("root_node").alias("node"), F.col("root_check").alias("check"))
+    return links.select(F.struct("node", "check").alias("a"), root.alias("b"))
 
 
 def near_duplicates(
@@ -295,11 +307,25 @@ def near_duplicates(
     piece_tokens: int = PIECE_TOKENS,
 ) -> DataFrame:
     """One line per row: doc_id, n_shingles, class_size, component_id."""
+    found = grouped(df, id_col, text_col, size, percent, piece_tokens)
+    return found.select("doc_id", "n_shingles", "class_size", "component_id")
+
+
+def grouped(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = 5,
+    percent: int = 75,
+    piece_tokens: int = PIECE_TOKENS,
+) -> DataFrame:
+    """The lines of ``near_duplicates`` with the ``text_key`` of the row's text (tag), and that of
+    the group's first row (first_tag): least id, then least key; null if no row has an id."""
     spark = df.sparkSession
-    docs = chosen(df, id_col, text_col)
+    docs = chosen(df, id_col, text_col).withColumn("tag", text_key())
     sized = docs.mapInArrow(
         _sized(size, percent),
-        "doc_id long, n_shingles long, node long, check long, spare long",
+        "doc_id long, tag long, n_shingles long, node long, check long, spare long",
     )
     sized = stored(sized, "sets")
     tokens = docs.mapInArrow(_tokens(size, percent), "token long, node long")
@@ -317,12 +343,14 @@ def near_duplicates(
     blocks = stored(components(stars), "blocks")
 
     classes = sized.filter("n_shingles > 0").groupBy("node", "check").agg(
-        F.min("doc_id").alias("rep"),
+        # A row to read the text from, and the first row with an id.
+        F.min(F.struct("doc_id", "tag")).alias("row"),
+        F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "tag"))).alias("first"),
         F.min("n_shingles").alias("n_shingles"),
         F.count(F.lit(1)).alias("class_size"),
     )
     classes = stored(classes, "classes")
-    members = classes.join(blocks, "node").select("rep", "check", "n_shingles", "root")
+    members = classes.join(blocks, "node").select("node", "check", "row.*", "n_shingles", "root")
     # Stored, so that the join deals both sides anew and can split the rows of a hot block.
     pieces = stored(_shares(members, "pieces", piece_tokens).filter("pieces > 1"), "pieces")
     members = members.join(pieces, "root", "left")
@@ -330,29 +358,34 @@ def near_duplicates(
     members = members.withColumn("piece", _part("pieces")).withColumn("chunk", F.lit(-1))
     placed = _in_blocks(members, MEMBER)
     cut = members.filter("pieces > 1")
-    least = F.min(F.struct("check", "rep", "n_shingles", "pieces", "chunk"))
+    least = F.min(F.struct("check", "node", "doc_id", "tag", "n_shingles", "pieces", "chunk"))
     hub = cut.groupBy("root").agg(least.alias("h"))
     hubs = _in_blocks(_repeated_over("pieces", hub.select("root", "h.*"), "piece"), HUB)
     links = stored(_search(placed.unionByName(hubs), docs, size, percent), "links")
-    found = links.select(F.col("rep").alias("a"), F.col("root").alias("b"))
+    found = _edges(links)
     if not cut.isEmpty():
-        apart = links.filter("apart").select("rep").distinct()
-        asked = stored(cut.join(apart, "rep", "left_semi"), "asked")
+        apart = links.filter("apart").select("node", "check").distinct()
+        asked = stored(cut.join(apart, ["node", "check"], "left_semi"), "asked")
         chunks = stored(_shares(asked, "chunks", piece_tokens), "chunks")
         asked = asked.join(chunks, "root").withColumn("chunk", _part("chunks"))
         asked = _in_blocks(_repeated_over("pieces", asked, "piece"), ASKED)
         rest = _in_blocks(_repeated_over("chunks", cut.join(chunks, "root"), "chunk"), MEMBER)
         more = _search(rest.unionByName(asked), docs, size, percent)
-        found = found.union(more.select("rep", "root"))
-    joined = components(found).withColumnRenamed("node", "rep")
-    classes = classes.join(joined, "rep", "left").select(
-        "node", "check", "class_size", F.coalesce("root", "rep").alias("component_id")
-    )
+        found = found.union(_edges(more))
+    joined = components(found).select(F.col("node").alias("own"), F.col("root").alias("group"))
+    classes = classes.withColumn("own", F.struct("node", "check")).join(joined, "own", "left")
+    classes = classes.withColumn("group", F.coalesce("group", "own"))
+    classes = stored(classes.select("node", "check", "class_size", "group", "first"), "grouped")
+    # Stored, so that the join deals both sides anew and can split the rows of a hot group.
+    first = stored(classes.groupBy("group").agg(F.min("first").alias("first")), "firsts")
+    classes = classes.drop("first").join(first, "group").drop("group")
     return sized.join(classes, ["node", "check"], "left").select(
         "doc_id",
         "n_shingles",
         F.coalesce("class_size", F.lit(1)).alias("class_size"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("first.doc_id", "doc_id").alias("component_id"),
+        "tag",
+        F.col("first.tag").alias("first_tag"),
     )
 
 
@@ -374,4 +407,4 @@ def _repeated_over(parts: str, classes: DataFrame, name: str) -> DataFrame:
 def _in_blocks(classes: DataFrame, role: int) -> DataFrame:
     """What meets in one task: the classes of a piece, and a chunk of those asked there."""
     block = F.xxhash64("root", "piece", "chunk").alias("block")
-    return classes.select("rep", "check", "pieces", block, F.lit(role).alias("role"))
+    return classes.select("node", "check", "doc_id", "tag", block, F.lit(role).alias("role"))
