@@ -219,3 +219,15 @@ def test_quality_that_follows_the_source_only(spark):
     truth = {k: q for k, q, _ in labels}
     later = quality.with_quality(docs, known).filter("doc_id >= 500").collect()
     assert sum((r.quality_score >= 0.5) == bool(truth[r.doc_id]) for r in later) >= 0.97 * len(later)
+
+
+def test_quality_samples_one_row_of_each_id(spark, monkeypatch):
+    rng = random.Random(41)
+    rows = [(k, prose(rng, 12), "en", "s", 9) for k in range(40) for _ in range(30)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    known = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    seen = []
+    learn = quality.cotrained
+    monkeypatch.setattr(quality, "cotrained", lambda v, y: seen.append(y) or learn(v, y))
+    quality.fitted(docs, known, pool=20)
+    assert sorted(y for y in seen[0] if y >= 0) == [0, 1] and 18 <= (seen[0] == -1).sum() <= 20

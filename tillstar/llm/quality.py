@@ -7,9 +7,9 @@ the labelled rows. In each round each view labels the rows of an unlabelled pool
 surest of, and the other view learns from them. At the end each view is calibrated on labelled
 rows kept aside, and a small logistic model of both calibrated logits scores every document.
 
-The classifiers are fitted on at most ``labelled`` labelled rows and ``pool`` further rows, both
-chosen by a hash of the id; all rows are scored, each from its whole text. Several labels of an
-id count as good only if all are.
+The classifiers are fitted on at most ``labelled`` labelled ids and ``pool`` ids of all rows, both
+chosen by a hash of the id, with one row of each; all rows are scored, each from its whole text.
+Several labels of an id count as good only if all are.
 
 Nulls and empty texts have empty views and get a score like any other row; null metadata is a
 value of its own, missing metadata columns count as null. With no labels, or one class only,
@@ -210,9 +210,10 @@ def fitted(
     known = labels.select(F.col("doc_id").cast("long").alias("__id"), "quality").dropna()
     known = known.groupBy("__id").agg(F.min(F.col("quality").cast("int")).alias("__label"))
     known = known.orderBy(F.xxhash64("__id"), "__id").limit(labelled)
-    some = df.select(ident.alias("__id")).dropna().orderBy(F.xxhash64("__id"), "__id").limit(pool)
+    some = df.select(ident.alias("__id")).dropna().distinct()
+    some = some.orderBy(F.xxhash64("__id"), "__id").limit(pool)
     # Each row of a sample is one id, so both samples together are bounded.
-    taken = known.unionByName(some.distinct().withColumn("__label", F.lit(-1)))
+    taken = known.unionByName(some.withColumn("__label", F.lit(-1)))
     taken = taken.groupBy("__id").agg(F.max("__label").alias("__label"))
     rows = df.join(F.broadcast(taken), ident == F.col("__id"))
     wanted = [c for c in ("lang", "source", "n_chars") if c in df.columns]
@@ -231,7 +232,10 @@ def fitted(
                 names=["id", "label", "content", "metadata"],
             )
 
-    rows = rows.mapInArrow(run, "id long, label int, content binary, metadata binary").collect()
+    rows = rows.mapInArrow(run, "id long, label int, content binary, metadata binary")
+    # One row of each id, however many rows repeat it.
+    least = F.min(F.struct("label", "content", "metadata")).alias("row")
+    rows = rows.groupBy("id").agg(least).select("id", "row.*").collect()
     rows.sort(key=lambda r: (r.id, r.content, r.metadata))
     order = np.random.default_rng(5).permutation(len(rows))
     label = np.array([r.label for r in rows], np.int64)[order]
