@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm import decontaminate, jaccard_join, line_dedup, piece_codec, quality
-from tillstar.llm.common import stored
+from tillstar.llm.common import stored, text_key
 from tillstar.llm.queries import piece_model, table
 
 
@@ -33,11 +33,15 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def jaccard_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the least id.
 
-    Documents without an id stay. Rows that repeat both id and text become one.
+    Rows that repeat an id with different texts are different documents: each is judged by its own
+    text, and of those of the least id in a group one stays. Documents without an id stay. Rows
+    that repeat both id and text become one.
     """
-    found = jaccard_join.near_duplicates(docs)
-    others = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    found = jaccard_join.grouped(docs)
+    others = found.filter("doc_id <> component_id or tag <> first_tag")
+    others = others.select("doc_id", F.col("tag").alias("__tag")).distinct()
+    told = docs.withColumn("__tag", text_key()).join(others, ["doc_id", "__tag"], "left_anti")
+    return told.select(docs.columns).dropDuplicates(["doc_id", "text"])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -86,3 +86,17 @@ def test_one_document_of_each_group_stays(spark, folder):
     groups = jaccard_join.near_duplicates(docs).filter("doc_id is not null")
     ids = sorted(r.doc_id for r in kept.filter("doc_id is not null").collect())
     assert ids == sorted({r.component_id for r in groups.collect()})
+
+
+def test_near_copies_that_repeat_an_id_with_other_texts(spark):
+    import random
+
+    rng = random.Random(18)
+    first, second, clean = (prose(rng, 80) for _ in range(3))
+    rows = [(1, first), (2, first + " tail"), (2, clean), (3, second), (3, second + " tail")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 9) for i, t in rows], DOCUMENTS)
+    kept = corpus_pipeline.STAGES[2][1](spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id, r.text) for r in kept.collect())
+    assert len(got) == 3 and got[:2] == [(1, first), (2, clean)]
+    assert got[2] in [(3, second), (3, second + " tail")]
