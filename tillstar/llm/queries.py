@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm import (
+    centroid_clusters,
     decontaminate,
     exact_dedup,
     html_text,
     jaccard_join,
+    language_id,
     line_dedup,
     piece_codec,
     quality,
     suffix_dedup,
     toxicity,
     url_filter,
+    vector_codes,
 )
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -93,6 +96,30 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("page_id", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    codes, books = vector_codes.coded(vectors, "vec_id", "embedding", "label")
+    digits = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0")))
+    return vector_codes.with_label_errors(codes, "label").select(
+        "vec_id",
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.sha256()).alias("codebooks_sha256"),
+    )
+
+
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.predicted(table(spark, folder, "documents"))
+
+
+def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    clusters = centroid_clusters.clustered(table(spark, folder, "embeddings"))
+    return clusters.rows.join(F.broadcast(clusters.sums()), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_line_dedup,
@@ -105,6 +132,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_suffix_dedup,
         op9_sentencepiece,
         op10_html_extraction,
+        op11_vector_codes,
+        op12_language_id,
+        op13_centroid_clustering,
     )
     return {q.__name__: q for q in named}
 
@@ -176,8 +206,91 @@ LEFT JOIN classes k ON k.doc_id = w.doc_id LEFT JOIN class_sizes z ON z.c = k.c
 """
 
 
+
+
+def _nearest(name: str, rows: str, points: str, key: str) -> str:
+    """Of each row (vec_id, x) the least (squared distance, number) over the points (n, c) of its
+    key. Whole numbers this small are exact as doubles."""
+    return f"""
+{name} AS MATERIALIZED (
+    SELECT vec_id, {key}, any_value(x) AS x, min(struct_pack(d := CAST(
+        list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c)
+        AS BIGINT), n := n)) AS m
+    FROM {rows} JOIN {points} USING ({key}) GROUP BY vec_id, {key})"""
+
+
+def _moved(name: str, found: str, points: str, key: str) -> str:
+    """The points after a round: floors of means, unused ones as they are."""
+    return f"""
+{name}_means AS (
+    SELECT {key}, n, i, floor(sum(v) / count(*)) AS v
+    FROM (SELECT {key}, m.n AS n, generate_subscripts(x, 1) AS i, unnest(x) AS v FROM {found})
+    GROUP BY {key}, n, i),
+{name} AS MATERIALIZED (
+    SELECT {key}, n, coalesce(a.c, b.c) AS c
+    FROM {points} b LEFT JOIN (
+        SELECT {key}, n, list(v ORDER BY i) AS c FROM {name}_means GROUP BY {key}, n) a
+    USING ({key}, n))"""
+
+
+def _rounds(rounds: int, key: str) -> str:
+    steps = []
+    for k in range(rounds):
+        steps += [_nearest(f"near{k}", "rows", f"points{k}", key)]
+        steps += [_moved(f"points{k + 1}", f"near{k}", f"points{k}", key)]
+    return ",".join([*steps, _nearest("found", "rows", f"points{rounds}", key)])
+
+
+FINITE = """embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+VECTOR_CODES = f"""
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings WHERE {FINITE}),
+rows AS MATERIALIZED (
+    SELECT vec_id, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] AS x
+    FROM kept, unnest(range(4)) AS t(p)),
+points0 AS MATERIALIZED (
+    SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS n, x AS c
+    FROM rows QUALIFY n < 256),
+{_rounds(4, "p")},
+codes AS (
+    SELECT vec_id, string_agg(printf('%02x', m.n), '' ORDER BY p) AS code,
+        CAST(sum(m.d) AS BIGINT) AS error
+    FROM found GROUP BY vec_id),
+books AS (
+    SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), ','), ','
+        ORDER BY p, n)) AS codebooks_sha256
+    FROM points4)
+SELECT vec_id, code, error,
+    CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (vec_id), books
+"""
+
+CENTROID_CLUSTERING = f"""
+WITH rows AS MATERIALIZED (
+    SELECT vec_id, 0 AS p, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS x
+    FROM embeddings WHERE len(embedding) = 64 AND {FINITE}),
+points0 AS MATERIALIZED (
+    SELECT p, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS n, x AS c
+    FROM rows QUALIFY n < 16),
+{_rounds(3, "p")},
+marks AS (
+    SELECT n, sha256(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), ','))
+        AS centroid_sha256
+    FROM points3)
+SELECT vec_id, CAST(m.n AS INTEGER) AS cluster, m.d AS distance,
+    CAST(sum(m.d) OVER (PARTITION BY m.n) AS BIGINT) AS cluster_inertia,
+    CAST(sum(m.d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM found JOIN marks ON n = m.n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_vector_codes": VECTOR_CODES,
+        "op13_centroid_clustering": CENTROID_CLUSTERING,
         "op1_line_dedup": LINE_DEDUP,
         "op3_exact_dedup": EXACT_DEDUP,
         "op4_jaccard_join": JACCARD_JOIN,
