@@ -190,7 +190,8 @@ def trained(
     """Codebooks of ``kept_vectors``: at most ``entries`` lines reach the driver at the start,
     and one for each part and entry in each round."""
     start = vectors.orderBy(F.col("vec_id").asc_nulls_last(), "ints").limit(entries)
-    rows = np.array([r.ints for r in start.select("ints").collect()], np.int64).reshape(-1, size)
+    first = [r.ints for r in start.select("ints").collect()]
+    rows = np.array(first, np.int64).reshape(len(first), size)
     books = Codebooks([p.copy() for p in np.split(rows, parts, axis=1)], size)
     width = size // parts
     for _ in range(rounds if len(rows) else 0):
