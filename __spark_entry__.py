@@ -177,9 +177,10 @@ def required_not_blank(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def dup_conflict_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return dup.rows_of_conflicting_keys(
-        derived.sales(spark, folder), "transaction_id", sinks.staged(spark, "repeats")
+def _on_repeats(operator: Callable[..., DataFrame]):
+    """Operators on repeated transactions: the repeated ids are counted once and stored."""
+    return lambda spark, folder: _shown(
+        operator(derived.sales(spark, folder), "transaction_id", sinks.staged(spark, "repeats"))
     )
 
 
@@ -325,10 +326,10 @@ def retail_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # Duplicates and shared contacts
         "dup_keys": _on_sales(lambda s: dup.repeated_keys(s, "transaction_id")),
         "dup_catalog_keys": _on_catalog(dup_catalog_keys),
-        "dup_rows": _on_sales(lambda s: dup.rows_of_repeated_keys(s, "transaction_id")),
-        "dup_comparison": _on_sales(lambda s: dup.compare_repeats(s, "transaction_id")),
-        "dup_conflicts": _on_sales(lambda s: dup.conflicting_repeats(s, "transaction_id")),
-        "dup_conflict_rows": dup_conflict_rows,
+        "dup_rows": _on_repeats(dup.rows_of_repeated_keys),
+        "dup_comparison": _on_repeats(dup.compare_repeats),
+        "dup_conflicts": _on_repeats(dup.conflicting_repeats),
+        "dup_conflict_rows": _on_repeats(dup.rows_of_conflicting_keys),
         "shared_names": _on_sales(dup.shared_names),
         "shared_emails": _on_sales(dup.shared_emails),
         "customer_pairs": _on_sales(profile.customer_pairs),

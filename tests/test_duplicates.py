@@ -1,12 +1,18 @@
 from __future__ import annotations
 
+import random
+from functools import partial
+
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from samples import sales
 
 from tillstar.operators import duplicates as dup
+from tillstar.operators import joins
 from tillstar.plans import star
+from tillstar.sources import sinks
 
 FEW = settings(
     max_examples=6,
@@ -93,6 +99,32 @@ def test_bounds_find_what_distinct_counts_find(spark, rows, lines):
     assert rows(dup.rows_of_conflicting_keys(df, "k")) == rows(inner)
 
 
+@pytest.mark.parametrize("listed, per_slice", [(10_000, 1_000_000), (0, 1_000_000), (0, 2)])
+def test_stored_counts_change_the_plan_only(spark, rows, monkeypatch, listed, per_slice):
+    """Rows of a key in one list, in one task, or spread over slices."""
+    monkeypatch.setattr(dup, "LISTED_ROWS", listed)
+    monkeypatch.setattr(dup, "ROWS_PER_SLICE", per_slice)
+    monkeypatch.setattr(dup, "keep_matching", partial(joins.keep_matching, rows_per_slice=per_slice))
+    rng = random.Random(6)
+    lines = [(rng.choice([None, *range(12), 7, 7, 7, 7]), rng.choice([None, 0.0, -0.0, 1.5]), "b") for _ in range(90)]
+    df = spark.createDataFrame([*lines, lines[0]], "k long, a double, b string").repartition(3)
+    kept = []
+
+    def store(part):
+        kept.append(sinks.staged(spark, "test")(part))
+        return kept[-1]
+
+    for operator in (
+        dup.rows_of_repeated_keys,
+        dup.compare_repeats,
+        dup.conflicting_repeats,
+        dup.rows_of_conflicting_keys,
+    ):
+        assert rows(operator(df, "k", store)) == rows(operator(df, "k"))
+        assert rows(operator(df.limit(0), "k", store)) == []
+    assert all(part.columns[0] == "k" for part in kept)
+
+
 @FEW
 @given(lines=LINES)
 def test_shared_values_equal_the_plain_query(spark, rows, lines):

@@ -6,11 +6,12 @@ import re
 
 import pytest
 
+import __spark_entry__ as registered
 from tillstar import schemas
 from tillstar.operators import duplicates as dup
 from tillstar.operators import profile
 from tillstar.plans import star
-from tillstar.sources import derived
+from tillstar.sources import derived, sinks
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -79,3 +80,26 @@ def test_masking_is_a_projection(stored):
     df = star.masked_contacts(stored)
     assert "Exchange" not in plan(df)
     assert "Project" in plan(df)
+
+
+@pytest.mark.parametrize("name", ["dup_rows", "dup_comparison", "dup_conflicts", "dup_conflict_rows"])
+def test_repeats_read_the_keys_once_and_the_rows_once(spark, monkeypatch, name):
+    """All scans of the order lines that run, in what is stored and in the plan itself."""
+    scans = []
+
+    def staged(spark, label):
+        def store(df):
+            scans.extend(order_lines(df))
+            return sinks.materialise(df, sinks.scratch_path(spark, label))
+
+        return store
+
+    def order_lines(df):
+        df.collect()
+        final = plan(df).split("== Initial Plan ==")[0]
+        return [c.count("l_") for c in re.findall(r"FileScan parquet \[(l_[^\]]*)\]", final)]
+
+    monkeypatch.setattr(registered.sinks, "staged", staged)
+    whole = order_lines(registered.queries()[name](spark, FOLDER))
+    assert len(whole) == 1
+    assert len(scans) == 1 and scans[0] < whole[0] / 2

@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.functions.rules import any_of
-from tillstar.operators.joins import keep_matching
+from tillstar.operators.joins import ROWS_PER_SLICE, keep_matching
+
+# Keeps a DataFrame once, for work that reads it several times.
+Store = Callable[[DataFrame], DataFrame]
+
+# Rows of one key that may stand in one list: a few megabytes.
+LISTED_ROWS = 10_000
 
 
 def as_text(df: DataFrame, column: str) -> Column:
@@ -25,18 +32,46 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("cnt")).filter(F.col("cnt") > 1)
 
 
-def rows_of_repeated_keys(df: DataFrame, key: str) -> DataFrame:
-    return keep_matching(df, repeated_keys(df, key), key, "cnt")
+@dataclass
+class Repeats:
+    """Repeated keys with their rows, and the rows of the heaviest if the keys are stored."""
+
+    keys: DataFrame
+    heaviest: int | None = None
+
+
+def counted_repeats(df: DataFrame, key: str, store: Store | None = None) -> Repeats:
+    """The repeated keys of ``df``, null left out.
+
+    Every use reads ``df`` again to count them, unless ``store`` (see ``sinks.staged``) keeps
+    them: then the key column is read once, and one line with the heaviest key comes back.
+    """
+    keys = repeated_keys(df, key).filter(F.col(key).isNotNull())
+    if store is None:
+        return Repeats(keys)
+    keys = store(keys)
+    return Repeats(keys, keys.agg(F.coalesce(F.max("cnt"), F.lit(0))).first()[0])
+
+
+def rows_of_repeated_keys(
+    df: DataFrame, key: str, store: Store | None = None, repeats: Repeats | None = None
+) -> DataFrame:
+    """Rows whose key repeats: rows of single keys are dropped before anything else is done."""
+    repeats = repeats or counted_repeats(df, key, store)
+    return keep_matching(df, repeats.keys, key, "cnt", heaviest=repeats.heaviest)
 
 
-def compare_repeats(df: DataFrame, key: str) -> DataFrame:
+def compare_repeats(df: DataFrame, key: str, store: Store | None = None) -> DataFrame:
     """Per repeated key: its rows, and the distinct known values of every other column.
 
-    Rows become (key, column, value) lines counted map-side first, so each line
-    is narrow and a key with a third of all rows is already reduced when it is
-    shuffled.
+    Rows become narrow (key, column, value) lines. Where the heaviest key is known to fit one
+    slice, the rows are dealt out by key before that, and nothing else is shuffled. Otherwise
+    the lines are, counted map-side first, so a key with a third of all rows is reduced by then.
     """
-    repeats = rows_of_repeated_keys(df, key).filter(F.col(key).isNotNull())
+    found = counted_repeats(df, key, store)
+    repeats = rows_of_repeated_keys(df, key, repeats=found).filter(F.col(key).isNotNull())
+    if found.heaviest is not None and found.heaviest <= ROWS_PER_SLICE:
+        repeats = repeats.repartition(key)
     others = [c for c in df.columns if c != key]
     lines = (
         repeats.select(key, *[as_text(repeats, c).alias(c) for c in others])
@@ -56,10 +91,10 @@ def compare_repeats(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def conflicting_repeats(df: DataFrame, key: str) -> DataFrame:
+def conflicting_repeats(df: DataFrame, key: str, store: Store | None = None) -> DataFrame:
     """The part of ``compare_repeats`` where some other column takes several values."""
     others = [c for c in df.columns if c != key]
-    return compare_repeats(df, key).filter(any_of(F.col(f"{c}_distinct") > 1 for c in others))
+    return compare_repeats(df, key, store).filter(any_of(F.col(f"{c}_distinct") > 1 for c in others))
 
 
 def conflicting_keys(df: DataFrame, key: str) -> DataFrame:
@@ -70,31 +105,46 @@ def conflicting_keys(df: DataFrame, key: str) -> DataFrame:
     the rows of repeated keys only; a key with one row never conflicts.
     """
     others = [c for c in df.columns if c != key]
-    bounds = [F.min(c).alias(f"{c}_low") for c in others] + [
-        F.max(c).alias(f"{c}_high") for c in others
-    ]
-    differing = any_of(
-        F.coalesce(F.col(f"{c}_low") != F.col(f"{c}_high"), F.lit(False)) for c in others
-    )
+    return _bounds(df, key, others).filter(_differing(others)).select(key, "cnt")
+
+
+def _bounds(df: DataFrame, key: str, others: list[str], *also: Column) -> DataFrame:
+    """Per key its rows, the least and greatest value of every other column, and ``also``."""
     return (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("cnt"), *bounds)
-        .filter(differing)
-        .select(key, "cnt")
+        .agg(
+            F.count(F.lit(1)).alias("cnt"),
+            *[F.min(c).alias(f"{c}_low") for c in others],
+            *[F.max(c).alias(f"{c}_high") for c in others],
+            *also,
+        )
     )
 
 
-def rows_of_conflicting_keys(
-    df: DataFrame, key: str, stage: Callable[[DataFrame], DataFrame] = lambda rows: rows
-) -> DataFrame:
+def _differing(others: list[str]) -> Column:
+    return any_of(
+        F.coalesce(F.col(f"{c}_low") != F.col(f"{c}_high"), F.lit(False)) for c in others
+    )
+
+
+def rows_of_conflicting_keys(df: DataFrame, key: str, store: Store | None = None) -> DataFrame:
     """Rows whose key conflicts.
 
-    The rows of repeated keys are needed three times. ``stage`` may store them
-    (see ``sinks.staged``), so that the full table is not read again for each.
+    With ``store`` the repeated keys are counted once. Where the heaviest is known to have few
+    rows, those of each key are listed beside their bounds, and ``df`` is read once more. Else
+    the rows of repeated keys are read twice, for the bounds and for the choice, and stored.
     """
-    repeats = stage(rows_of_repeated_keys(df, key))
-    return keep_matching(repeats, conflicting_keys(repeats, key), key, "cnt")
+    repeats = counted_repeats(df, key, store)
+    rows = rows_of_repeated_keys(df, key, repeats=repeats)
+    others = [c for c in df.columns if c != key]
+    if repeats.heaviest is not None and repeats.heaviest <= LISTED_ROWS:
+        listed = F.collect_list(F.struct(*df.columns)).alias("rows")
+        found = _bounds(rows.repartition(key), key, others, listed).filter(_differing(others))
+        return found.select(F.inline("rows"))
+    rows = store(rows) if store else rows
+    # A key that conflicts has no more rows than the heaviest of all repeated ones.
+    return keep_matching(rows, conflicting_keys(rows, key), key, "cnt", heaviest=repeats.heaviest)
 
 
 def shared_values(df: DataFrame, column: str, owner: str, keep: list[str]) -> DataFrame:

@@ -105,14 +105,18 @@ def keep_matching(
     key: str | Sequence[str],
     weight: str,
     rows_per_slice: int = ROWS_PER_SLICE,
+    heaviest: int | None = None,
 ) -> DataFrame:
     """Rows whose key is listed in ``keys``; null keys never match.
 
     ``keys`` holds one row per key with its number of rows in ``weight``. A key is
     repeated once per ``rows_per_slice`` of its rows, so all repeats together stay
-    below ``keys + rows / rows_per_slice``.
+    below ``keys + rows / rows_per_slice``. ``heaviest`` is the greatest of those numbers,
+    if the caller knows it: where it fits one slice, nothing needs spreading.
     """
     key = [key] if isinstance(key, str) else list(key)
+    if heaviest is not None and heaviest <= rows_per_slice:
+        return rows.join(keys.select(*key), key, "left_semi").select(*rows.columns)
     weighed = keys.select(*key, weight)
     heavy = heavy_keys(weighed, key, weight, rows_per_slice)
     share = slice_rows(weighed, weight, rows_per_slice)
