@@ -107,7 +107,7 @@ def _raw_copy(spark: SparkSession, df: DataFrame, schema: T.StructType, name: st
     raw = sinks.scratch_path(spark, f"raw-{name}")
     sinks.write_table(df, landing, "csv")
     delimited.landing_to_raw(spark, landing, raw, schema)
-    return delimited.read_text(spark, raw, schema)
+    return delimited.read_raw(spark, raw, schema)
 
 
 def _raw_sales(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -8,7 +8,7 @@ from samples import GOOD
 from tillstar import schemas
 from tillstar.operators import gates
 from tillstar.plans import pipeline, star
-from tillstar.sources import audit, delimited
+from tillstar.sources import audit, delimited, published
 
 
 def csv_line(row):
@@ -51,10 +51,9 @@ def test_run(spark, rows, place, fmt):
         two=[{}, {"transaction_id": 4, "email": "nope", "transaction_date": "25-01-2024"}],
     )
     pipeline.run(spark, paths, catalog, target, pipeline.Options(fmt=fmt), run_id="r1")
-    reader = spark.read if fmt == "parquet" else spark.read.option("header", True)
 
     def table(name, schema):
-        return reader.schema(schema).format(fmt).load(f"{target}/{name}")
+        return published.read(spark, target, name, schema)
 
     fact = table("fact_sales", schemas.FACT_SALES)
     assert rows(fact, "transaction_id", "valid_quantity") == [
@@ -82,7 +81,7 @@ def test_findings_and_rejects_are_kept(spark, rows, place):
         ("rejected_rows", 2),
         ("unreadable_dates", 1),
     ]
-    rejected = spark.read.parquet(f"{target}/rejected_sales")
+    rejected = published.read(spark, target, "rejected_sales", schemas.REJECTED_SALES)
     assert rows(rejected, "src", "reject_reason") == [("one", "blank:city"), ("two", "null:quantity")]
 
 
@@ -100,7 +99,7 @@ def test_values_and_lines_that_do_not_fit_are_found_and_kept(spark, rows, place)
     found = dict(rows(spark.read.parquet(f"{target}/run_findings"), "finding", "row_count"))
     assert found["lost:price"] == 1 and found["lost:_corrupt_line"] == 2
     assert found["rejected_contacts"] == 2
-    lost = rows(spark.read.parquet(f"{target}/lost_values"), "src", "column", "value")
+    lost = rows(published.read(spark, target, "lost_values", schemas.LOST_VALUES))
     assert ("one", "price", "abc") in lost and ("two", "_corrupt_line", "7,8") in lost
     assert any(v.endswith("seventeenth") for _, _, v in lost)
 
@@ -135,10 +134,10 @@ def test_failure_leaves_published_tables_and_no_scratch(spark, place, monkeypatc
     monkeypatch.setattr(star, "dim_product", lambda catalog: catalog.limit(0))
     with pytest.raises(Exception):
         pipeline.run(spark, paths, catalog, target)
-    assert spark.read.parquet(f"{target}/dim_product").count() == 2
-    assert spark.read.parquet(f"{target}/fact_sales").count() == 2
+    assert published.read(spark, target, "dim_product", schemas.DIM_PRODUCT).count() == 2
+    assert published.read(spark, target, "fact_sales", schemas.FACT_SALES).count() == 2
     assert scratch_files(spark) == before
-    assert not list(Path(target).glob("_run-*"))
+    assert len(list(Path(target).glob("_runs/*"))) == 1
 
 
 def test_run_again_replaces_tables_and_adds_an_audit_line(spark, place):
@@ -146,8 +145,8 @@ def test_run_again_replaces_tables_and_adds_an_audit_line(spark, place):
     options = pipeline.Options(across_sources=True, partition_fact_by=["payment_status"])
     for run in ("r1", "r2"):
         pipeline.run(spark, paths, catalog, target, options, run_id=run)
-    assert spark.read.parquet(f"{target}/fact_sales").count() == 2
-    assert spark.read.parquet(f"{target}/dim_customer").count() == 1
+    assert published.read(spark, target, "fact_sales", schemas.FACT_SALES).count() == 2
+    assert published.read(spark, target, "dim_customer", schemas.DIM_CUSTOMER).count() == 1
     assert sorted(audit_lines(spark, target)) == [("r1", "Succeeded"), ("r2", "Succeeded")]
 
 
@@ -195,13 +194,13 @@ def test_reporting(spark, rows, place, fmt):
     pipeline.publish_reporting(spark, target, options)
 
     def table(name, schema):
-        return pipeline.read_published(spark, f"{target}/{name}", schema, fmt)
+        return published.read(spark, target, name, schema)
 
     days = table("dim_date", "date date, date_id int, year int, month int, day int")
     assert rows(days, "date_id") == [(20240105,), (20240106,), (20240107,), (20240108,)]
     total = table("kpi_summary", "revenue double, orders long, avg_order_value double")
     assert rows(total) == [(14.0, 2, 7.0)]
-    assert spark.read.format(fmt).load(f"{target}/kpi_by_month").count() >= 1
+    assert table("kpi_by_month", "month string").count() >= 1
 
 
 def test_reporting_refuses_repeated_products(spark, place):
@@ -224,4 +223,80 @@ def test_raw_copy_feeds_the_run(spark, place, tmp_path):
     for name, landing in paths.items():
         delimited.landing_to_raw(spark, landing, raw[name], schemas.SALES)
     pipeline.run(spark, raw, catalog, target)
-    assert spark.read.parquet(f"{target}/fact_sales").count() == 2
+    assert published.read(spark, target, "fact_sales", schemas.FACT_SALES).count() == 2
+
+
+def star_of(spark, target):
+    return {
+        name: published.read(spark, target, name, schema).count()
+        for name, schema in (
+            ("dim_product", schemas.DIM_PRODUCT),
+            ("dim_customer", schemas.DIM_CUSTOMER),
+            ("fact_sales", schemas.FACT_SALES),
+        )
+    }
+
+
+@pytest.mark.parametrize("step", ["build_products", "build_customers", "build_fact", "record_findings"])
+def test_a_stop_between_two_tables_leaves_the_old_set_whole(spark, place, monkeypatch, step):
+    paths, catalog, target = place(PRODUCTS, one=[{}], two=[{"transaction_id": 2, "customer_id": 11}])
+    pipeline.run(spark, paths, catalog, target, run_id="r1")
+    before = star_of(spark, target)
+    opened = published.read(spark, target, "fact_sales", schemas.FACT_SALES)
+    more = csv_line({**GOOD, "transaction_id": 3, "customer_id": 12}[n] for n in schemas.SALES.names)
+    with open(f"{paths['two']}/data.csv", "a") as raw:
+        raw.write(more + "\n")
+    done = getattr(pipeline, step)
+
+    def stopped(*args):
+        done(*args)
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(pipeline, step, stopped)
+    with pytest.raises(RuntimeError, match="stopped"):
+        pipeline.run(spark, paths, catalog, target, run_id="r2")
+    assert star_of(spark, target) == before
+    monkeypatch.setattr(pipeline, step, done)
+    pipeline.run(spark, paths, catalog, target, run_id="r2")
+    assert star_of(spark, target)["fact_sales"] == before["fact_sales"] + 1
+    assert opened.count() == before["fact_sales"]  # a reader of the old set is not disturbed
+    assert sorted(audit_lines(spark, target)) == [("r1", "Succeeded"), ("r2", "Failed"), ("r2", "Succeeded")]
+
+
+def test_a_run_id_used_again_leaves_one_set_of_findings(spark, rows, place):
+    paths, catalog, target = place(PRODUCTS, one=[{}, {"city": "  "}], two=[{}])
+    for run_id in ("7", "7", "8"):
+        pipeline.run(spark, paths, catalog, target, run_id=run_id)
+    found = audit.read_findings(spark, f"{target}/run_findings")
+    assert rows(found.filter("finding = 'rejected_rows'"), "run_id", "row_count") == [("7", 1), ("8", 1)]
+    assert [s for _, s in audit_lines(spark, target)] == ["Succeeded"] * 3
+
+
+def test_old_folders_go_and_other_tables_stay(spark, place):
+    paths, catalog, target = place(PRODUCTS, one=[{}], two=[{}])
+    pipeline.run(spark, paths, catalog, target)
+    pipeline.publish_reporting(spark, target)
+    for _ in range(published.KEPT_VERSIONS):
+        pipeline.run(spark, paths, catalog, target)
+    # The newest sets, and the indicators that no newer run has replaced.
+    assert len(list(Path(target).glob("_runs/*"))) == published.KEPT_VERSIONS + 1
+    assert published.read(spark, target, "kpi_summary", "revenue double").count() == 1
+    with pytest.raises(LookupError, match="no published table nothing"):
+        published.read(spark, target, "nothing", "a int")
+
+
+def test_a_run_over_raw_finds_what_a_run_over_landing_finds(spark, rows, place, tmp_path):
+    paths, catalog, target = place(PRODUCTS, one=[{}, {"price": "abc"}], two=[{}])
+    with open(f"{paths['two']}/data.csv", "a") as landing:
+        landing.write(csv_line([*[GOOD[n] for n in schemas.SALES.names], "seventeenth"]) + "\n7,8\n")
+    raw = {name: f"{tmp_path}/raw/{name}" for name in paths}
+    for name, landing in paths.items():
+        delimited.landing_to_raw(spark, landing, raw[name], schemas.SALES)
+    pipeline.run(spark, paths, catalog, target)
+    pipeline.run(spark, raw, catalog, f"{target}-raw")
+    for name, schema in (("lost_values", schemas.LOST_VALUES), ("fact_sales", schemas.FACT_SALES)):
+        assert rows(published.read(spark, f"{target}-raw", name, schema)) == rows(
+            published.read(spark, target, name, schema)
+        )
+    lost = published.read(spark, f"{target}-raw", "lost_values", schemas.LOST_VALUES)
+    assert ("two", "_corrupt_line", "7,8") in rows(lost)

@@ -63,6 +63,24 @@ def test_landing_lines_that_do_not_split_are_set_aside_whole(spark, rows, tmp_pa
     assert rows(aside, delimited.CORRUPT) == [("2,Cup,Home,3,more",), ("3,Mug",)]
 
 
+def test_a_raw_copy_still_knows_its_broken_lines(spark, rows, tmp_path):
+    landing, raw = tmp_path / "landing", f"{tmp_path}/raw"
+    text = "1;Pen;Office;5\n2;Cup;Home;3;more\n3;Mug\n1;Pen;Office;5\n2;Cup;Home;3\n"
+    path = write(landing, HEADER.replace(",", ";") + text)
+    for _ in range(2):
+        delimited.landing_to_raw(spark, path, raw, schemas.CATALOG, sep=";")
+    whole = delimited.read_raw(spark, raw, schemas.CATALOG)
+    assert rows(whole) == rows(delimited.read_text(spark, path, schemas.CATALOG, sep=";"))
+    assert rows(delimited.contract_violations(whole, schemas.CATALOG)) == [
+        ("_corrupt_line", 2), ("price", 0), ("product_id", 0)
+    ]
+    # A later copy without broken lines leaves none behind, and a plain folder is read as it is.
+    write(tmp_path / "clean", HEADER + "4,Jug,Home,1\n")
+    delimited.landing_to_raw(spark, f"{tmp_path}/clean", raw, schemas.CATALOG)
+    assert rows(delimited.read_raw(spark, raw, schemas.CATALOG)) == [("4", "Jug", "Home", "1", None)]
+    assert delimited.read_raw(spark, f"{tmp_path}/clean", schemas.CATALOG).count() == 1
+
+
 def test_landing_to_raw_keeps_text_as_it_is(spark, rows, tmp_path):
     landing = write(tmp_path / "in", 'product_id;product_name;category;price\n01;"a;b";  ;1.50\n2;say "x";c;\n')
     raw = f"{tmp_path}/raw"

@@ -14,9 +14,9 @@ from tillstar import schemas
 from tillstar.operators import gates
 from tillstar.plans import kpi, star
 from tillstar.session import tuned
-from tillstar.sources import audit
-from tillstar.sources.delimited import lost_values, read_text, typed
-from tillstar.sources.sinks import materialise, remove, scratch_path, size_of, switch, write_table
+from tillstar.sources import audit, published
+from tillstar.sources.delimited import lost_values, read_raw, typed, unsplit_path
+from tillstar.sources.sinks import materialise, remove, scratch_path, size_of, write_table
 
 PIPELINE_NAME = "retail_star"
 LOST = "__lost"
@@ -56,12 +56,13 @@ def load_sources(
 
     Everything afterwards reads the columnar copies, so a step reads only its own columns
     and a lost executor never causes the text to be parsed again. The lines of each source
-    are counted in its text before, and the stored rows against them after.
+    are counted in its text before, and the stored rows against them after. A raw copy's lines
+    that did not split when it was made are read whole, as from the landing file itself.
     """
     counts: dict[str, int] = {}
 
     def store(name: str, path: str, schema, folder: str) -> DataFrame:
-        text = read_text(spark, path, schema, multi_line=options.multi_line)
+        text = read_raw(spark, path, schema, multi_line=options.multi_line)
         counts[name] = text.count()
         schemas.require_schema(typed(text, schema), schema, path)
         rows = text.withColumn(LOST, lost_values(schema))
@@ -93,29 +94,26 @@ def load_sources(
     return inputs
 
 
-def read_published(spark: SparkSession, path: str, schema, fmt: str) -> DataFrame:
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    return reader.format(fmt).load(path)
-
-
 def publish(
     df: DataFrame, schema, path: str, table: str, expected: int, options: Options, partition_by=None
 ) -> None:
     """Write a table whose inputs passed their gates, then compare what arrived."""
     schemas.require_schema(df, schema, table)
     write_table(df, path, options.fmt, partition_by)
-    published = read_published(df.sparkSession, path, schema, options.fmt)
-    arrived = published.agg(F.count(F.lit(1)).alias("n"))
+    reader = df.sparkSession.read.schema(schema)
+    reader = reader.option("header", True) if options.fmt == "csv" else reader
+    arrived = reader.format(options.fmt).load(path).agg(F.count(F.lit(1)).alias("n"))
     gates.enforce(
         gates.lines(arrived, gates.equal(f"{table}: rows published", F.lit(expected), F.col("n")))
     )
 
 
-def record_findings(inputs: Inputs, run: str, run_id: str) -> None:
-    """Keep what the tables leave out or read with doubt: rows with reasons, and counts."""
-    write_table(star.rejected_sales(inputs.sales), f"{run}/rejected_sales")
+def record_findings(inputs: Inputs, run: str, target: str, run_id: str) -> None:
+    """Keep what the tables leave out or read with doubt: rows with reasons, and counts, which
+    replace those of an earlier run of this id."""
+    rejected = star.rejected_sales(inputs.sales)
+    schemas.require_schema(rejected, schemas.REJECTED_SALES, "rejected_sales")
+    write_table(rejected, f"{run}/rejected_sales")
     write_table(inputs.lost, f"{run}/lost_values")
     contacts = star.rejected_contacts(inputs.sales).agg(
         F.lit("rejected_contacts").alias("finding"), F.count(F.lit(1)).alias("row_count")
@@ -124,7 +122,7 @@ def record_findings(inputs: Inputs, run: str, run_id: str) -> None:
         F.count(F.lit(1)).alias("row_count")
     )
     found = gates.findings(inputs.sales).unionByName(contacts).unionByName(lost)
-    found.withColumn("run_id", F.lit(run_id)).write.parquet(f"{run}/run_findings")
+    audit.write_findings(found, f"{target}/run_findings", run_id)
 
 
 def build_products(inputs: Inputs, run: str, options: Options) -> None:
@@ -169,7 +167,7 @@ def build_fact(inputs: Inputs, run: str, options: Options, scratch: str) -> None
     )
 
 
-TABLES = ["dim_product", "dim_customer", "fact_sales", "rejected_sales", "lost_values"]
+STAR = ["dim_product", "dim_customer", "fact_sales"]
 
 
 def run(
@@ -183,45 +181,58 @@ def run(
     """Build and publish ``dim_product``, ``dim_customer`` and ``fact_sales`` below ``target``.
 
     Beside them go the rejected rows, the values lost on the way from text, the counts of
-    both and of doubtful rows, and the audit lines. All tables are first written to a folder
-    of the run below ``target`` and checked there; only when every one has passed do they
-    take the places of the published ones, one after the other. The audit line is written
-    whatever happens; a failure is raised after it. The run's own intermediate tables are
-    deleted at the end, also after a failure.
+    both and of doubtful rows, and the audit lines. All tables are written to a folder of the
+    run and checked there; only when every one has passed and the findings are kept does one new
+    line of the manifest make them the published ones (see ``published``), which is the last
+    step that can fail the run. The audit line is written whatever happens; a failure is raised
+    after it. The run's own intermediate tables are deleted at the end, and after a failure its
+    folder too; folders of replaced runs go once some newer ones are published.
     """
     options = options or Options()
     run_id = run_id or uuid.uuid4().hex
     status = audit.FAILED
-    scratch, own = scratch_path(spark, run_id), f"{target}/_run-{run_id}"
+    scratch, folder = scratch_path(spark, run_id), published.new_folder(run_id)
+    own = f"{target}/{folder}"
+    paths = [*sources.values(), catalog]
     try:
-        with tuned(spark, size_of(spark, [*sources.values(), catalog])):
+        with tuned(spark, size_of(spark, [*paths, *map(unsplit_path, paths)])):
             inputs = load_sources(spark, sources, catalog, options, scratch)
             build_products(inputs, own, options)
             build_customers(inputs, own, options, scratch)
             build_fact(inputs, own, options, scratch)
-            record_findings(inputs, own, run_id)
-            for table in TABLES:
-                switch(spark, f"{own}/{table}", f"{target}/{table}")
-            found = spark.read.parquet(f"{own}/run_findings")
-            found.write.mode("append").parquet(f"{target}/run_findings")
+            record_findings(inputs, own, target, run_id)
+            formats = dict.fromkeys(STAR, options.fmt)
+            formats |= dict.fromkeys(["rejected_sales", "lost_values"], "parquet")
+            published.publish(spark, target, run_id, folder, formats)
         status = audit.SUCCEEDED
     finally:
         remove(spark, scratch)
-        remove(spark, own)
+        if status == audit.FAILED:
+            remove(spark, own)
         audit.append_run(spark, f"{target}/run_audit", PIPELINE_NAME, status, run_id)
+    published.clean(spark, target)
     return run_id
 
 
 def publish_reporting(spark: SparkSession, target: str, options: Options | None = None) -> None:
-    """Write the calendar and the sales indicators from the published tables.
+    """Write the calendar and the sales indicators from the published tables, and publish them
+    together.
 
     A product id with two lines would count its sales twice, so ids must be unique.
     """
     options = options or Options()
-    fact = read_published(spark, f"{target}/fact_sales", schemas.FACT_SALES, options.fmt)
-    products = read_published(spark, f"{target}/dim_product", schemas.DIM_PRODUCT, options.fmt)
+    fact = published.read(spark, target, "fact_sales", schemas.FACT_SALES)
+    products = published.read(spark, target, "dim_product", schemas.DIM_PRODUCT)
     gates.enforce(gates.unique_key(products, "product_id", "dim_product"))
-    write_table(star.dim_date(fact), f"{target}/dim_date", options.fmt)
+    run_id = f"reporting-{uuid.uuid4().hex}"
+    folder = published.new_folder(run_id)
     priced = kpi.priced_sales(fact, products)
-    for build in kpi.TABLES:
-        write_table(build(priced), f"{target}/{build.__name__}", options.fmt)
+    tables = {"dim_date": star.dim_date(fact)}
+    tables |= {build.__name__: build(priced) for build in kpi.TABLES}
+    try:
+        for name, df in tables.items():
+            write_table(df, f"{target}/{folder}/{name}", options.fmt)
+    except BaseException:
+        remove(spark, f"{target}/{folder}")
+        raise
+    published.publish(spark, target, run_id, folder, dict.fromkeys(tables, options.fmt))

@@ -72,6 +72,30 @@ AUDIT = T.StructType(
     ]
 )
 
+FINDINGS = T.StructType(
+    [
+        T.StructField("finding", T.StringType()),
+        T.StructField("row_count", T.LongType()),
+        T.StructField("run_id", T.StringType()),
+    ]
+)
+
+REJECTED_SALES = T.StructType(
+    [
+        *SALES.fields,
+        T.StructField("src", T.StringType()),
+        T.StructField("reject_reason", T.StringType()),
+    ]
+)
+
+LOST_VALUES = T.StructType(
+    [
+        T.StructField("src", T.StringType()),
+        T.StructField("column", T.StringType()),
+        T.StructField("value", T.StringType()),
+    ]
+)
+
 # Tag telling which of the transaction sources a row came from.
 SOURCE = "src"
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +10,9 @@ from pyspark.sql import types as T
 # Column that keeps a line the reader could not split into the contract's columns.
 CORRUPT = "_corrupt_line"
 
+# How the files of a raw copy begin that hold the fields of such lines.
+UNSPLIT = "unsplit"
+
 # The dialect of the raw files.
 RAW_DIALECT = {"header": True, "sep": ",", "quote": '"', "escape": "\\"}
 
@@ -104,15 +108,23 @@ def landing_to_raw(
 ) -> None:
     """Copy one landing source to its own raw folder as quoted text.
 
-    Nothing is typed or dropped on the way; all values stay text. A landing line
-    that does not split keeps its readable fields in the copy and is set aside whole,
-    with those fields, as JSON in ``unsplit_path(raw)``. The copy runs in as many tasks
-    as the source has splits.
+    Nothing is typed or dropped on the way; all values stay text. A landing line that does not
+    split is set aside whole, with its readable fields, as JSON in ``unsplit_path(raw)``. The
+    copy holds these fields too, in files named after ``UNSPLIT``, so that ``read_raw`` can put
+    the whole lines in their place. The copy runs in as many tasks as the source has splits.
     """
     text = read_text(spark, landing, schema, multi_line, **landing_options)
-    copy = text.drop(CORRUPT).write.mode("overwrite")
+    broken = F.col(CORRUPT).isNotNull()
+    text.filter(broken).write.mode("overwrite").json(unsplit_path(raw))
+    _write_raw(text.filter(~broken), raw, "overwrite")
+    aside = read_unsplit(spark, raw, schema)
+    if not aside.isEmpty():
+        _write_raw(aside, raw, "append", UNSPLIT)
+
+
+def _write_raw(text: DataFrame, raw: str, mode: str, name: str = "part") -> None:
+    copy = text.drop(CORRUPT).write.mode(mode).option("mapreduce.output.basename", name)
     copy.options(**RAW_DIALECT, **KEEP_SPACES, quoteAll=True).csv(raw)
-    text.filter(F.col(CORRUPT).isNotNull()).write.mode("overwrite").json(unsplit_path(raw))
 
 
 def unsplit_path(raw: str) -> str:
@@ -122,3 +134,22 @@ def unsplit_path(raw: str) -> str:
 
 def read_unsplit(spark: SparkSession, raw: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(_text_schema(schema)).json(unsplit_path(raw))
+
+
+def read_raw(
+    spark: SparkSession, raw: str, schema: T.StructType, multi_line: bool = False, **options
+) -> DataFrame:
+    """``read_text`` of a raw copy, in which lines that did not split on the way in are whole.
+
+    Their rows come from the set-aside lines rather than from the copy's files of them. A folder
+    that has nothing set aside beside it is read as it is.
+    """
+    text = read_text(spark, raw, schema, multi_line, **options)
+    try:
+        aside = read_unsplit(spark, raw, schema)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return text
+    own = ~F.startswith(F.col("_metadata.file_name"), F.lit(f"{UNSPLIT}-"))
+    return text.filter(own).unionByName(aside)

@@ -64,16 +64,6 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
-def switch(spark: SparkSession, checked: str, published: str) -> None:
-    """Put a checked folder in the place of a published one."""
-    new, files = _located(spark, checked)
-    old, _ = _located(spark, published)
-    files.mkdirs(old.getParent())
-    files.delete(old, True)
-    if not files.rename(new, old):
-        raise RuntimeError(f"{checked} could not be moved to {published}")
-
-
 def size_of(spark: SparkSession, paths: list[str]) -> int:
     """Bytes of the files at ``paths``; what is not there counts as nothing."""
     total = 0
