@@ -184,6 +184,12 @@ def _on_repeats(operator: Callable[..., DataFrame]):
     )
 
 
+def price_summary(spark: SparkSession, folder: str) -> DataFrame:
+    catalog = derived.catalog(spark, folder)
+    summary = profile.exact_summary(catalog, "price", sinks.staged(spark, "prices"))
+    return _shown(summary, mean=6, stddev=6)
+
+
 def missing_phones(sales: DataFrame) -> DataFrame:
     missing = profile.missing_phones(sales).agg(F.count(F.lit(1))).scalar()
     return sales.agg(F.count(F.lit(1)).alias("rows_read")).withColumn("missing", missing)
@@ -348,9 +354,7 @@ def retail_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "distinct_profile_catalog": _on_catalog(profile.distinct_profile),
         "describe_numeric": _on_sales(profile.describe_columns, mean=6, stddev=6),
         "describe_catalog": _on_catalog(profile.describe_columns, mean=6, stddev=6),
-        "price_summary": _on_catalog(
-            lambda c: profile.numeric_summary(c, "price"), mean=6, stddev=6
-        ),
+        "price_summary": price_summary,
         "price_histogram": _on_catalog(lambda c: profile.histogram(c, "price")),
         "quantity_flag": _on_sales(profile.quantity_flag_counts),
         "quantity_flag_profile": _on_sales(profile.quantity_profile),

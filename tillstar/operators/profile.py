@@ -7,6 +7,8 @@ before the shuffle, so a value held by most rows costs no more than a rare one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 from tillstar.functions import rules
 from tillstar.functions.dates import date_format, date_order
 from tillstar.operators.duplicates import as_text
+from tillstar.operators.ranks import exact_quantiles
 
 # The quantiles of a price summary, and the accuracy of their sketch.
 QUARTILES = [0.25, 0.5, 0.75]
@@ -142,23 +145,36 @@ def describe_columns(df: DataFrame) -> DataFrame:
     return _line_per_column(df, {f.name: measures(f) for f in df.schema.fields})
 
 
-def numeric_summary(df: DataFrame, column: str, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles of one column, one row.
-
-    Quartiles are values of the column whose rank is within rows / accuracy of
-    the exact one: a mergeable sketch of bounded size, whatever the row count.
-    """
-    quartiles = F.percentile_approx(column, QUARTILES, accuracy)
+def _summary(df: DataFrame, column: str, quartiles: list[Column]) -> DataFrame:
     return df.agg(
         F.count(column).alias("count"),
         F.avg(column).alias("mean"),
         F.stddev(column).alias("stddev"),
         F.min(column).alias("min"),
-        *[F.get(quartiles, F.lit(i)).alias(f"p{int(q * 100)}") for i, q in enumerate(QUARTILES)],
+        *[v.alias(f"p{int(q * 100)}") for q, v in zip(QUARTILES, quartiles, strict=True)],
         F.max(column).alias("max"),
     )
 
 
+def numeric_summary(df: DataFrame, column: str, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+    """Count, mean, deviation, extremes and quartiles of one column, one row.
+
+    Quartiles are values of the column whose rank is within rows / accuracy of
+    the exact one: a mergeable sketch of bounded size, whatever the row count.
+    """
+    quartiles = F.percentile_approx(column, QUARTILES, accuracy)
+    return _summary(df, column, [F.get(quartiles, F.lit(i)) for i in range(len(QUARTILES))])
+
+
+def exact_summary(
+    df: DataFrame, column: str, store: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``numeric_summary`` with exact quartiles, which are looked up at once (see ``ranks``)."""
+    kind = df.schema[column].dataType
+    found = exact_quantiles(df, column, QUARTILES, store)
+    return _summary(df, column, [F.lit(v).cast(kind) for v in found])
+
+
 def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bins between the least and greatest value, empty bins included.
 

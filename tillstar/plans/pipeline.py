@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar import schemas
+from tillstar.functions.privacy import secret_at
 from tillstar.operators import gates
 from tillstar.plans import kpi, star
 from tillstar.session import tuned
@@ -27,13 +28,16 @@ class Options:
     """How a run reads, hashes and writes.
 
     A raw value that does not convert to its type, or a raw line that does not split, is
-    always counted and kept in ``lost_values``; ``strict`` ends the run for it.
+    always counted and kept in ``lost_values``; ``strict`` ends the run for it. ``secret`` keys
+    the hashes of contacts; ``secret_file`` names a text file with it instead, which only the
+    tasks' queries read.
     """
 
     fmt: str = "parquet"
     multi_line: bool = False
     strict: bool = False
-    secret: str | None = None
+    secret: str | None = field(default=None, repr=False)
+    secret_file: str | None = None
     normalise_phone: bool = False
     across_sources: bool = False
     partition_fact_by: list[str] = field(default_factory=list)
@@ -140,7 +144,10 @@ def build_customers(inputs: Inputs, run: str, options: Options, scratch: str) ->
     parts = {n: contacts(df) for n, df in inputs.parts.items()}
     gates.enforce(gates.reconcile_union(parts, stored, "customers"))
     build = star.dim_customer_deduped if options.across_sources else star.dim_customer
-    customers = build(stored, options.secret, options.normalise_phone)
+    secret = options.secret
+    if options.secret_file:
+        secret = secret_at(stored.sparkSession, options.secret_file)
+    customers = build(stored, secret, options.normalise_phone)
     each = stored.drop(schemas.SOURCE).distinct() if options.across_sources else stored
     publish(
         customers,

@@ -62,7 +62,7 @@ def rejected_contacts(sales: DataFrame) -> DataFrame:
 
 
 def hashed(
-    customers: DataFrame, secret: str | None = None, normalise_phone: bool = False
+    customers: DataFrame, secret: str | Column | None = None, normalise_phone: bool = False
 ) -> DataFrame:
     """Customer columns of contact rows, with the contacts hashed."""
     return customers.select(
@@ -74,7 +74,7 @@ def hashed(
 
 
 def dim_customer(
-    sales: DataFrame, secret: str | None = None, normalise_phone: bool = False
+    sales: DataFrame, secret: str | Column | None = None, normalise_phone: bool = False
 ) -> DataFrame:
     """Distinct contacts of each source, one under the other.
 
@@ -85,7 +85,7 @@ def dim_customer(
 
 
 def dim_customer_deduped(
-    sales: DataFrame, secret: str | None = None, normalise_phone: bool = False
+    sales: DataFrame, secret: str | Column | None = None, normalise_phone: bool = False
 ) -> DataFrame:
     """Distinct contacts across all sources."""
     contacts = valid_customers(sales).drop(SRC).distinct()
