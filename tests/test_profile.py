@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import datetime
+from decimal import Decimal
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -177,3 +180,20 @@ def test_orphans_with_repeated_dimension_keys(spark, rows):
     df = sales(spark, {}, {}, {"product_id": 5})
     assert rows(checks.orphans(df, products, "product_id", "product")) == [("product", 3, 1, 1)]
     assert rows(checks.orphans(df.limit(0), products, "product_id", "p")) == [("p", 0, 0, 0)]
+
+
+def test_distinct_values_of_every_type(spark, rows):
+    kinds = "`a b` long, f float, d double, t string, y date, k boolean, m decimal(9,2), s short"
+    day = datetime.date(2024, 1, 5)
+    lines = [
+        (1, 0.5, 0.0, "1", day, True, Decimal("1.50"), 1),
+        (1, None, -0.0, "01", day, False, Decimal("1.5"), 2),
+        (None, 0.5, float("nan"), "", None, None, None, None),
+        (1 << 62, 0.25, float("nan"), None, None, None, None, 1),
+        ((1 << 62) + 1, 0.25, None, "a", None, None, None, 1),
+    ]
+    df = spark.createDataFrame(lines, kinds)
+    assert rows(profile.distinct_profile(df)) == [
+        ("a b", 4), ("d", 3), ("f", 3), ("k", 3), ("m", 2), ("s", 3), ("t", 5), ("y", 2)
+    ]
+    assert profile.distinct_profile(df.limit(0)).collect() == []

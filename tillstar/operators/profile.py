@@ -94,12 +94,33 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def _typed_lines(df: DataFrame) -> DataFrame:
+    """(place, whole, fraction, text): one line per row and column, the value in the part of its
+    own type, so that numbers are compared as numbers and never written out as text."""
+    kinds = {"whole": "bigint", "fraction": "double", "text": "string"}
+
+    def kind(data_type: T.DataType) -> str:
+        if isinstance(data_type, T.IntegralType):
+            return "whole"
+        return "fraction" if isinstance(data_type, (T.DoubleType, T.FloatType)) else "text"
+
+    cells = []
+    for place, field in enumerate(df.schema.fields, start=1):
+        own = kind(field.dataType)
+        cells.append(F.lit(place))
+        cells += [
+            (F.col(f"`{field.name}`") if part == own else F.lit(None)).cast(to)
+            for part, to in kinds.items()
+        ]
+    return df.select(F.stack(F.lit(len(df.columns)), *cells).alias("place", *kinds))
+
+
 def distinct_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct values per column; null counts as one value.
 
-    Exact by default: one shuffle of narrow (column, value) lines, already counted
-    map-side. ``approximate`` uses one HyperLogLog++ sketch per column and
-    shuffles nothing but the sketches.
+    Exact by default: one shuffle of narrow typed lines, each value of a column only once per
+    task. ``approximate`` uses one HyperLogLog++ sketch per column and shuffles nothing but the
+    sketches.
     """
     if approximate:
         has_null = {c: F.max(F.col(c).isNull().cast("long")) for c in df.columns}
@@ -113,10 +134,10 @@ def distinct_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
                 for c in df.columns
             },
         )
-    return (
-        value_counts(df, df.columns)
-        .groupBy("column")
-        .agg(F.count(F.lit(1)).alias("distinct_count"))
+    counts = _typed_lines(df).distinct().groupBy("place").agg(F.count(F.lit(1)).alias("n"))
+    names = F.array(*[F.lit(c) for c in df.columns])
+    return counts.select(
+        F.element_at(names, F.col("place")).alias("column"), F.col("n").alias("distinct_count")
     )
 
 
