@@ -1,0 +1,130 @@
+"""Records with line breaks read by several tasks, against the one-task reader of the same files."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tillstar import schemas
+from tillstar.sources import delimited, multiline
+
+HEADER = ",".join(schemas.CATALOG.names)
+
+
+def one_task(spark, path, **options):
+    fields = [T.StructField(c, T.StringType()) for c in [*schemas.CATALOG.names, delimited.CORRUPT]]
+    reader = spark.read.schema(T.StructType(fields)).options(**{**delimited.RAW_DIALECT, **options})
+    reader = reader.option("columnNameOfCorruptRecord", delimited.CORRUPT).option("columnPruning", False)
+    return reader.option("multiLine", True).csv(path)
+
+
+def counted(df):
+    return Counter(map(tuple, df.collect()))
+
+
+def cell(rng):
+    plain = ["", "Pen", " ", '5" pipe', "a\\b", "é", "x y"]
+    inside = ["a,b", "two\nlines", "\n", 'say \\"no\\"', "three\n\nlines,\n", "end\\\\", '\\"\n\\"']
+    value = rng.choice(plain) if rng.random() < 0.5 else None
+    return value if value is not None else '"' + rng.choice(inside) + rng.choice(["", "z"]) + '"'
+
+
+def records_of(rng, n):
+    return [",".join([str(k), cell(rng), cell(rng), rng.choice(["1.5", "", '"2"'])]) for k in range(n)]
+
+
+@pytest.fixture
+def small_splits(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    spark.conf.set(names[0], "700")
+    spark.conf.set(names[1], "0")
+    yield
+    for name, value in zip(names, before, strict=True):
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_rows_of_the_one_task_read(spark, tmp_path, small_splits, end):
+    rng = random.Random(12)
+    for name in ("a", "b"):
+        lines = records_of(rng, 150)
+        lines[40:40] = ["", "7,only two", '8,"x",y,1,surplus', '9,"un"closed,z,3']
+        text = "\n".join([HEADER, *lines]) + "\n"
+        (tmp_path / f"{name}.csv").write_bytes(text.replace("\n", end).encode())
+    path = str(tmp_path)
+    expected = counted(one_task(spark, path))
+    text = delimited.read_text(spark, path, schemas.CATALOG, multi_line=True)
+    assert counted(text) == expected
+    assert spark.read.text(path).rdd.getNumPartitions() >= 8
+    assert expected.total() > 300 and any("\n" in (r[1] or "") for r in expected)
+
+
+def test_a_value_that_is_never_closed_takes_the_rest_of_its_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(f'{HEADER}\n1,"never closed\n2,b\n')
+    (tmp_path / "b.csv").write_text(f"{HEADER}\n3,c,d,4\n")
+    text = delimited.read_text(spark, str(tmp_path), schemas.CATALOG, multi_line=True)
+    line = '1,"never closed\n2,b'
+    assert counted(text) == {("1", "never closed\n2,b", None, None, line): 1, ("3", "c", "d", "4", None): 1}
+
+
+def test_a_long_value_runs_through_many_splits(spark, tmp_path, small_splits):
+    long = "\n".join(f"line {k}, with, commas" for k in range(400))
+    (tmp_path / "a.csv").write_text(f'{HEADER}\n1,"{long}",c,1\n2,"b",c,2\n3,"{long}",c,3\n')
+    df = delimited.read_delimited(spark, str(tmp_path), schemas.CATALOG, multi_line=True)
+    assert sorted(map(tuple, df.collect())) == [(1, long, "c", 1.0), (2, "b", "c", 2.0), (3, long, "c", 3.0)]
+
+
+def test_states_against_a_plain_machine(spark):
+    rng = random.Random(2)
+    lines = ["".join(rng.choices('",\\ab', k=rng.randint(0, 9))) for _ in range(600)]
+
+    def plain(text, inside):
+        start = not inside
+        k = 0
+        while k < len(text):
+            char = text[k]
+            if inside:
+                if char == "\\":
+                    k += 1
+                elif char == '"':
+                    inside = start = False
+            elif char == ",":
+                start = True
+            else:
+                inside = start and char == '"'
+                start = False
+            k += 1
+        return inside
+
+    df = spark.createDataFrame([(x,) for x in lines], "v string")
+    shut = [multiline.closed(v, ",", '"', "\\") for v in (F.col("v"), F.concat(F.lit('"'), "v"))]
+    for row in df.select("v", *[c.alias(n) for c, n in zip(shut, "oi", strict=True)]).collect():
+        if row.v.endswith("\\"):
+            continue  # an escape before the line break stands for itself
+        assert (not row.o, not row.i) == (plain(row.v, False), plain(row.v, True)), row.v
+
+
+def test_other_dialects_headers_and_empty_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEADER.replace(",", "|") + "\n1|'a|\nb'|c|1\n")
+    (tmp_path / "b.csv").write_text(HEADER.replace(",", "|") + "\n")
+    df = delimited.read_text(spark, str(tmp_path), schemas.CATALOG, multi_line=True, sep="|", quote="'")
+    assert [tuple(r) for r in df.collect()] == [("1", "a|\nb", "c", "1", None)]
+    (tmp_path / "b.csv").write_text("product_id|name|category|price\n")
+    with pytest.raises(multiline.HeaderMismatch, match="name"):
+        delimited.read_text(spark, str(tmp_path), schemas.CATALOG, multi_line=True, sep="|", quote="'")
+
+
+def test_a_raw_copy_of_records_with_line_breaks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    text = '1,"a\nb",c,1\n2,"x\ny",c,3,more\n3,Mug\n4,d,e,5\n'
+    (tmp_path / "in" / "a.csv").write_text(f"{HEADER}\n{text}")
+    raw = f"{tmp_path}/raw"
+    delimited.landing_to_raw(spark, f"{tmp_path}/in", raw, schemas.CATALOG, multi_line=True)
+    whole = counted(delimited.read_raw(spark, raw, schemas.CATALOG, multi_line=True))
+    assert whole == counted(one_task(spark, f"{tmp_path}/in"))
+    assert delimited.read_text(spark, raw, schemas.CATALOG, multi_line=True).count() == 4

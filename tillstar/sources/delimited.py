@@ -7,11 +7,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillstar.sources import multiline
+
 # Column that keeps a line the reader could not split into the contract's columns.
 CORRUPT = "_corrupt_line"
 
-# How the files of a raw copy begin that hold the fields of such lines.
-UNSPLIT = "unsplit"
+# How the files of a raw copy begin, and those that hold the fields of such lines.
+WHOLE, UNSPLIT = "part", "unsplit"
 
 # The dialect of the raw files.
 RAW_DIALECT = {"header": True, "sep": ",", "quote": '"', "escape": "\\"}
@@ -36,9 +38,13 @@ def read_text(
 
     Header names are checked against the contract by the reader. Every column is
     parsed whatever a query selects, else a line that does not split would be
-    noticed in some queries only. Set ``multi_line`` for fields that contain line breaks; a file is then read by one
-    task, so such files should be many rather than large.
+    noticed in some queries only. Set ``multi_line`` for fields that contain line breaks: the
+    records are then found first (see ``multiline``), also by as many tasks as the files have
+    splits, and the header is checked at once.
     """
+    if multi_line:
+        dialect = {**RAW_DIALECT, **options}
+        return multiline.read_records(spark, path, _text_schema(schema), dialect, CORRUPT)
     return (
         spark.read.schema(_text_schema(schema))
         .options(**{**RAW_DIALECT, **options})
@@ -46,7 +52,6 @@ def read_text(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", False)
         .option("columnPruning", False)
-        .option("multiLine", multi_line)
         .csv(path)
     )
 
@@ -122,7 +127,7 @@ def landing_to_raw(
         _write_raw(aside, raw, "append", UNSPLIT)
 
 
-def _write_raw(text: DataFrame, raw: str, mode: str, name: str = "part") -> None:
+def _write_raw(text: DataFrame, raw: str, mode: str, name: str = WHOLE) -> None:
     copy = text.drop(CORRUPT).write.mode(mode).option("mapreduce.output.basename", name)
     copy.options(**RAW_DIALECT, **KEEP_SPACES, quoteAll=True).csv(raw)
 
@@ -144,12 +149,11 @@ def read_raw(
     Their rows come from the set-aside lines rather than from the copy's files of them. A folder
     that has nothing set aside beside it is read as it is.
     """
-    text = read_text(spark, raw, schema, multi_line, **options)
     try:
         aside = read_unsplit(spark, raw, schema)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return text
-    own = ~F.startswith(F.col("_metadata.file_name"), F.lit(f"{UNSPLIT}-"))
-    return text.filter(own).unionByName(aside)
+        return read_text(spark, raw, schema, multi_line, **options)
+    whole = read_text(spark, raw, schema, multi_line, pathGlobFilter=f"{WHOLE}-*", **options)
+    return whole.unionByName(aside)
