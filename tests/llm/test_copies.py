@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
-from hashlib import sha256
+from hashlib import md5, sha256
 
 import numpy as np
 import pytest
@@ -194,28 +194,79 @@ def test_suffix_ranks_and_common_prefixes():
             assert shared[b] == same
 
 
-def brute_lines(rows, run=4):
-    cut = re.compile(r"[ \n\r\t]*(?:[^ \n\r\t]+[ \t]*){1,12}[\n\r]*|[ \n\r\t]+")
-    parts = {(i, t): cut.findall(t) for i, t in rows}
+def brute_lines(rows, window=line_dedup.WINDOW, gram=line_dedup.GRAM):
+    """(id, what stays, words that went) of every row, from windows of words one by one."""
+    parts = {(i, t): re.findall(r"(?:^[ \n\r\t]+)?[^ \n\r\t]+[ \n\r\t]*", t) for i, t in rows}
     first: dict = {}
-    windows = []
+    places = set()
     for (i, t), p in parts.items():
-        assert "".join(p) == t
-        for k in range(len(p) - run + 1):
-            key = tuple(x.strip(" \n\r\t") for x in p[k : k + run])
-            windows.append((i, t, k, key))
-            first[key] = min(first.get(key, (i, k)), (i, k))
+        words = [x.strip(" \n\r\t") for x in p]
+        marks = [md5(x.encode()).hexdigest()[:8] for x in words]
+        windows = [range(s, s + window) for s in range(len(words) - window + 1)]
+        ends = {0, len(words) - gram} if len(words) >= gram else set()
+        for k in ends | {min(s, key=lambda n: (marks[n], n)) for s in windows}:
+            if k + gram <= len(words):
+                key = tuple(words[k : k + gram])
+                places.add((i, t, k, key))
+                first[key] = min(first.get(key, (i, k)), (i, k))
     gone = defaultdict(set)
-    for i, t, k, key in windows:
+    for i, t, k, key in places:
         if first[key] < (i, k):
-            gone[i, t] |= set(range(k, k + run))
+            gone[i, t] |= set(range(k, k + gram))
     out = []
     for i, t in rows:
-        kept = "".join(x for k, x in enumerate(parts[i, t]) if k not in gone[i, t])
-        out.append((i, kept, len(gone[i, t])))
+        own = gone[i, t]
+        kept = "".join(x for k, x in enumerate(parts[i, t]) if k not in own) if own else t
+        out.append((i, kept, len(own)))
     return sorted(out)
 
 
+def test_shifted_and_changed_copies_of_passages(spark):
+    """Passages at every offset in a line, broken into other lines, or with a word put in."""
+    rng = random.Random(31)
+    passages = [prose(rng, 56, 11).split() for _ in range(12)]
+    rows = [(k, " ".join(p)) for k, p in enumerate(passages)]
+    for k, p in enumerate(passages):
+        before, after = prose(rng, rng.randint(0, 25), 99), prose(rng, rng.randint(0, 25), 99)
+        rows.append((100 + k, f"{before} {' '.join(p)} {after}"))
+        lines = "\r\n".join(" ".join(p[n : n + k + 1]) for n in range(0, len(p), k + 1))
+        rows.append((200 + k, f"  {before}\n{lines}\t{after}\n"))
+        half = len(p) // 2
+        changed = [*p, *p][half:half + 40] if k % 2 else [*p[:half], "new", *p[half:], *p[:half]]
+        rows.append((300 + k, f"{before} {' '.join(changed)}"))
+    clean = [(400 + k, prose(rng, 200)) for k in range(15)]
+    df = spark.createDataFrame(rows + clean, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r for r in line_dedup.without_repeated_runs(df).collect()}
+    assert sorted((r.doc_id, r.text, r.n_removed) for r in found.values()) == brute_lines(rows + clean)
+    texts = dict(rows + clean)
+    shortest = 56 - 2 * (line_dedup.WINDOW - 1)
+    for k in range(12):
+        assert found[k].n_removed == 0
+        assert all(found[k + n].n_removed >= shortest for n in (100, 200))
+    assert all(found[i].text == texts[i] for i, _ in clean)
+
+
+def test_passages_of_over_fifty_words_never_stay_whole(spark):
+    """Later copies of 51 words or more, found word by word, in the given documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = sorted(pairs(docs))
+    kept = {r.doc_id: (r.text or "").split() for r in line_dedup.without_repeated_runs(docs).collect()}
+    first: dict = {}
+    later = []
+    for i, t in rows:
+        words = t.split()
+        end = 0
+        for s in range(len(words) - 50):
+            place = first.setdefault(tuple(words[s : s + 51]), (i, s))
+            if place < (i, s) and s >= end:
+                later.append((i, words[s : s + 51]))
+                end = s + 51
+    assert len(later) > 150
+    for i, words in later:
+        left = " ".join(kept[i])
+        assert " ".join(words) not in left
+
+
 def test_line_runs(documents):
     found = line_dedup.without_repeated_runs(documents)
     got = [(r.doc_id, r.text or "", r.n_removed) for r in found.collect()]
@@ -223,6 +274,12 @@ def test_line_runs(documents):
     assert found.columns == [*documents.columns, "n_removed"]
     plan = found._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+    odd = documents.withColumns({c: F.lit(c) for c in ("__id", "__tag", "__STARTS", "id", "starts")})
+    again = line_dedup.without_repeated_runs(odd)
+    assert again.columns == [*odd.columns, "n_removed"]
+    assert sorted((r.doc_id, r.text or "", r.n_removed) for r in again.collect()) == sorted(got)
+    with pytest.raises(ValueError, match="gaps"):
+        line_dedup.without_repeated_runs(documents, window=9, gram=8)
 
 
 def test_long_text_and_odd_columns(spark):

@@ -142,24 +142,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 LINE_DEDUP = r"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 cut AS (
-    SELECT doc_id, text, regexp_extract_all(
-        text, '[ \n\r\t]*(?:[^ \n\r\t]+[ \t]*){1,12}[\n\r]*|[ \n\r\t]+') AS p
+    SELECT doc_id, text, regexp_extract_all(text, '[^ \n\r\t]+') AS w,
+        regexp_extract_all(text, '(?:^[ \n\r\t]+)?[^ \n\r\t]+[ \n\r\t]*') AS p
     FROM docs),
-runs AS (
-    SELECT doc_id, i,
-        list_transform(p[i:i + 3], lambda x: trim(x, ' ' || chr(10) || chr(13) || chr(9))) AS r
-    FROM cut, unnest(range(1, len(p) - 2)) AS t(i)),
+keys AS (
+    SELECT doc_id, w, list_transform(w, lambda x, i:
+        left(md5(x), 8) || lpad(CAST(i - 1 AS VARCHAR), 10, '0')) AS k
+    FROM cut WHERE len(w) >= 24),
+selected AS (
+    SELECT doc_id, unnest(list_transform(list_distinct(list_transform(range(1, len(w) - 8),
+            lambda s: list_min(k[s:s + 9])) || [k[1], k[len(w) - 23]]),
+        lambda m: {'i': CAST(substr(m, 9) AS BIGINT), 'r': w[CAST(substr(m, 9) AS BIGINT) + 1:
+            CAST(substr(m, 9) AS BIGINT) + 24]})) AS f
+    FROM keys),
 placed AS (
-    SELECT doc_id, i,
-        row_number() OVER (PARTITION BY r ORDER BY doc_id, i) AS place
-    FROM runs),
+    SELECT doc_id, f.i AS i, row_number() OVER (PARTITION BY f.r ORDER BY doc_id, f.i) AS place
+    FROM selected WHERE len(f.r) = 24),
 gone AS (
-    SELECT doc_id, list_distinct(flatten(list([i, i + 1, i + 2, i + 3]))) AS g
-    FROM placed WHERE place > 1 GROUP BY doc_id)
+    SELECT doc_id, list(DISTINCT j) AS g
+    FROM placed, unnest(range(i, i + 24)) AS t(j) WHERE place > 1 GROUP BY doc_id)
 SELECT doc_id,
     coalesce(len(g), 0) AS n_removed,
     sha256(CASE WHEN g IS NULL THEN text ELSE array_to_string(
-        list_filter(p, lambda x, i: NOT list_contains(g, i)), '') END) AS kept_sha256
+        list_filter(p, lambda x, i: NOT list_contains(g, i - 1)), '') END) AS kept_sha256
 FROM cut LEFT JOIN gone USING (doc_id)
 """
 
