@@ -5,7 +5,8 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
-from hashlib import md5, sha256
+from hashlib import sha256
+from zlib import crc32
 
 import numpy as np
 import pytest
@@ -201,7 +202,7 @@ def brute_lines(rows, window=line_dedup.WINDOW, gram=line_dedup.GRAM):
     places = set()
     for (i, t), p in parts.items():
         words = [x.strip(" \n\r\t") for x in p]
-        marks = [md5(x.encode()).hexdigest()[:8] for x in words]
+        marks = [crc32(x.encode()) for x in words]
         windows = [range(s, s + window) for s in range(len(words) - window + 1)]
         ends = {0, len(words) - gram} if len(words) >= gram else set()
         for k in ends | {min(s, key=lambda n: (marks[n], n)) for s in windows}:

@@ -145,22 +145,30 @@ cut AS (
     SELECT doc_id, text, regexp_extract_all(text, '[^ \n\r\t]+') AS w,
         regexp_extract_all(text, '(?:^[ \n\r\t]+)?[^ \n\r\t]+[ \n\r\t]*') AS p
     FROM docs),
+words AS (
+    SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM cut WHERE len(w) >= 32),
+hashed AS (
+    SELECT x, xor(list_reduce([4294967295] || list_transform(range(octet_length(encode(x))),
+            lambda n: CAST('0x' || substr(hex(x), 2 * n + 1, 2) AS BIGINT)),
+        lambda c, byte: list_reduce([xor(c, byte)] || range(8),
+            lambda d, n: CASE WHEN d % 2 = 1 THEN xor(d // 2, 3988292384) ELSE d // 2 END)),
+        4294967295) AS crc
+    FROM (SELECT DISTINCT x FROM words)),
 keys AS (
-    SELECT doc_id, w, list_transform(w, lambda x, i:
-        left(md5(x), 8) || lpad(CAST(i - 1 AS VARCHAR), 10, '0')) AS k
-    FROM cut WHERE len(w) >= 24),
+    SELECT doc_id, list(x ORDER BY i) AS w, list(crc * 2147483648 + i ORDER BY i) AS k
+    FROM words JOIN hashed USING (x) GROUP BY doc_id),
 selected AS (
-    SELECT doc_id, unnest(list_transform(list_distinct(list_transform(range(1, len(w) - 8),
-            lambda s: list_min(k[s:s + 9])) || [k[1], k[len(w) - 23]]),
-        lambda m: {'i': CAST(substr(m, 9) AS BIGINT), 'r': w[CAST(substr(m, 9) AS BIGINT) + 1:
-            CAST(substr(m, 9) AS BIGINT) + 24]})) AS f
+    SELECT doc_id, unnest(list_transform(
+        list_distinct(list_transform(range(1, len(w) - 14), lambda s: list_min(k[s:s + 15]))
+            || [k[1], k[len(w) - 31]]),
+        lambda m: {'i': m % 2147483648, 'r': w[m % 2147483648 + 1:m % 2147483648 + 32]})) AS f
     FROM keys),
 placed AS (
     SELECT doc_id, f.i AS i, row_number() OVER (PARTITION BY f.r ORDER BY doc_id, f.i) AS place
-    FROM selected WHERE len(f.r) = 24),
+    FROM (SELECT DISTINCT doc_id, f FROM selected) WHERE len(f.r) = 32),
 gone AS (
     SELECT doc_id, list(DISTINCT j) AS g
-    FROM placed, unnest(range(i, i + 24)) AS t(j) WHERE place > 1 GROUP BY doc_id)
+    FROM placed, unnest(range(i, i + 32)) AS t(j) WHERE place > 1 GROUP BY doc_id)
 SELECT doc_id,
     coalesce(len(g), 0) AS n_removed,
     sha256(CASE WHEN g IS NULL THEN text ELSE array_to_string(
