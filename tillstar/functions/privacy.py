@@ -31,8 +31,8 @@ def hidden(secret: str) -> Column:
 
 
 def secret_at(spark: SparkSession, path: str) -> Column:
-    """The only line of a text file as a secret, read when a query runs; the driver never holds
-    it. Raises if the file does not have exactly one line that is not empty."""
+    """The only line of a text file as a secret, read when a query runs, so that no program text
+    or setting holds it. Raises if the file does not have exactly one line that is not empty."""
     lines = spark.read.text(path)
     filled = F.length("value") > 0
     found = lines.agg(F.count(F.lit(1)).alias("all"), F.count_if(filled).alias("filled")).first()

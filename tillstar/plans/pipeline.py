@@ -29,8 +29,8 @@ class Options:
 
     A raw value that does not convert to its type, or a raw line that does not split, is
     always counted and kept in ``lost_values``; ``strict`` ends the run for it. ``secret`` keys
-    the hashes of contacts; ``secret_file`` names a text file with it instead, which only the
-    tasks' queries read.
+    the hashes of contacts; ``secret_file`` names a text file with it instead, which is read
+    when a query runs.
     """
 
     fmt: str = "parquet"
