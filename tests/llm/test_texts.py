@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from hashlib import sha256
 
 import numpy as np
@@ -114,6 +115,38 @@ def test_codec_against_the_library(spark, documents, library):
         assert marks[k].spanned_bytes == len(text.encode())
 
 
+def test_long_units_against_the_library(library):
+    codec = piece_codec.Codec(queries.piece_model())
+    rng = random.Random(21)
+    chinese = [chr(k) for k in range(0x4E00, 0x4F00)]
+    signs = [*"abcdefghijklmnopqrstuvwxyz"], [*"ACGT"], [*"aZ+/09xQ"], chinese, ["a"], ["a", "é", "😀"]
+    texts = ["".join(rng.choices(s, k=n)) for s in signs for n in (199, 200, 201, 3_000, 40_000)]
+    texts += [f"the {texts[3]} and {texts[8]}", texts[3]]
+    started = time.process_time()
+    ids, per_text, starts, ends = codec.encode(texts)
+    assert time.process_time() - started < 10  # a step per merge over all that is left took minutes
+    bounds = np.cumsum(per_text)[:-1]
+    for text, own, a, b in zip(
+        texts, *(np.split(v, bounds) for v in (ids, starts, ends)), strict=True
+    ):
+        assert own.tolist() == library.encode(text)
+        assert a[0] == 0 and b[-1] == len(text.encode()) and (a[1:] == b[:-1]).all()
+
+
+def test_units_that_share_a_key_keep_their_own_ids(library, monkeypatch):
+    def few(self, points, first, count):
+        return np.arange(len(first)) % 2
+
+    monkeypatch.setattr(piece_codec.Codec, "_unit_keys", few)
+    codec = piece_codec.Codec(queries.piece_model())
+    rng = random.Random(22)
+    for _ in range(3):
+        texts = [prose(rng, 30).replace("\n", " ") for _ in range(5)] + ["", "x" * 300, "日 本"]
+        ids, per_text, _, _ = codec.encode(texts)
+        for text, own in zip(texts, np.split(ids, np.cumsum(per_text)[:-1]), strict=True):
+            assert own.tolist() == library.encode(text)
+
+
 def test_character_map_against_the_library():
     normalizer = sentencepiece.SentencePieceNormalizer(
         rule_name="nmt_nfkc",

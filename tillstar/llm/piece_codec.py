@@ -4,18 +4,24 @@
   double-array trie) and records, for every normalised character, the byte of the text it
   comes from. A model without a map keeps characters as they are.
 * The normalised text falls into units that no piece can cross (a run of blanks with the word
-  after it). Each distinct unit of a batch is encoded once: all units merge their best pair of
-  neighbours in step, until none has a pair left. A worker remembers a bounded number of units.
+  after it). Each distinct unit of a batch is encoded once: short units merge their best pair of
+  neighbours in step, until none has a pair left; a long unit has a heap of its pairs, so that
+  its time grows as n log n. A worker remembers a bounded number of units and characters, and
+  a remembered unit is used only where its characters are the same.
 * Characters without a piece become byte pieces, or the unknown piece in models without them.
 * Every piece is projected through the record to the bytes of the original text.
 
-Nulls are empty texts; an empty text has only the begin and end ids. Repeated rows are encoded
-one by one. Other columns are kept by ``with_pieces``.
+Nulls are empty texts; an empty text has only the begin and end ids. Very long texts, with or
+without blanks, are encoded whole. Pairs of equal rank merge from the left. Repeated rows are
+encoded one by one; an empty table gives no rows. Other columns are kept, those of an output's
+name are replaced.
 """
 
 from __future__ import annotations
 
+from array import array
 from hashlib import sha256
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +34,10 @@ from tillstar.llm.common import appended, mix
 BLANK = "▁"
 # Distinct units remembered by a worker, and characters encoded at once.
 REMEMBERED = 400_000
+REMEMBERED_CHARS = 8_000_000
 SLICE_CHARS = 400_000
+# Units with more characters than this merge by a heap of their own.
+LONG = 200
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -88,7 +97,7 @@ def _utf8_lengths(points: np.ndarray) -> np.ndarray:
 def _gather(values: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The slices ``values[first : first + count]`` one after the other."""
     shift = first - (np.cumsum(count) - count)
-    return values[np.arange(int(count.sum())) + np.repeat(shift, count)]
+    return values.take(np.arange(int(count.sum())) + np.repeat(shift, count), mode="clip")
 
 
 class Codec:
@@ -154,7 +163,7 @@ class Codec:
 
     def tables(self) -> dict:
         """Everything the codec is made of, as plain values."""
-        return {k: v for k, v in vars(self).items() if k not in ("map", "known")}
+        return {k: v for k, v in vars(self).items() if k not in ("map", "known", "joins")}
 
     @classmethod
     def of(cls, tables: dict) -> Codec:
@@ -205,8 +214,10 @@ class Codec:
 
     def _forget(self) -> None:
         self.known: dict[int, int] = {}
+        self.joins: dict[int, tuple[int, int]] = {}
         self.ids, self.lens, self.starts = [np.zeros(0, np.int64)] * 3
-        self.chars = np.zeros(0, np.int64)
+        self.chars, self.sizes, self.places = [np.zeros(0, np.int64)] * 3
+        self.points = np.zeros(0, np.uint32)
 
     def _pair(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(found, slot) of each neighbouring pair in the merge table."""
@@ -223,11 +234,16 @@ class Codec:
     def _merged(self, symbols: np.ndarray, unit: np.ndarray):
         """Symbols of all units after every merge, with the characters each one spans.
 
-        In each step every unit that still has a pair joins its best one (least rank, then
+        In each step every short unit that still has a pair joins its best one (least rank, then
         leftmost), as a queue of one unit would.
         """
-        done, chars = [], np.ones(len(symbols), np.int64)
-        place = np.arange(len(symbols))
+        size, done = np.bincount(unit), []
+        ends = np.cumsum(size)
+        for high, n in zip(ends[size > LONG], size[size > LONG], strict=True):
+            own, joined, chars = self._queued(symbols[high - n : high])
+            done.append((own + (high - n), joined, chars))
+        place = np.flatnonzero(size[unit] <= LONG)
+        symbols, unit, chars = symbols[place], unit[place], np.ones(len(place), np.int64)
         while len(symbols):
             same = unit[1:] == unit[:-1]
             found, slot = self._pair(symbols[:-1], symbols[1:])
@@ -256,6 +272,48 @@ class Codec:
         symbols, chars = (np.concatenate([d[k] for d in done])[order] for k in (1, 2))
         return place[order], symbols, chars
 
+    def _queued(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places, symbols and characters of one long unit after every merge."""
+        if not self.joins:
+            used = np.flatnonzero(self.slots >= 0)
+            values = zip(self.rank[used].tolist(), self.made[used].tolist(), strict=True)
+            self.joins = dict(zip(self.slots[used].tolist(), values, strict=True))
+        n, base, joins = len(symbols), self.base, self.joins
+        found, slot = self._pair(symbols[:-1], symbols[1:])
+        ranks = np.full(n, -1, np.int64)
+        ranks[:-1][found] = self.rank[slot[found]]
+        pairs = np.flatnonzero(found)
+        heap = ((ranks[pairs] << 32) | pairs).tolist()
+        heapify(heap)
+        # ``rank`` is that of the pair a symbol forms with its right neighbour, -1 if none: an
+        # entry of the heap with another rank is out of date.
+        rank, held = array("q", ranks.tobytes()), array("q", symbols.tobytes())
+        left, right = array("q", range(-1, n - 1)), array("q", range(1, n + 1))
+        while heap:
+            entry = heappop(heap)
+            at = entry & 0xFFFFFFFF
+            if rank[at] != entry >> 32:
+                continue
+            gone = right[at]
+            held[at] = joins[held[at] * base + held[gone]][1]
+            held[gone] = rank[gone] = rank[at] = -1
+            after = right[at] = right[gone]
+            if after < n:
+                left[after] = at
+                pair = joins.get(held[at] * base + held[after])
+                if pair:
+                    rank[at] = pair[0]
+                    heappush(heap, pair[0] << 32 | at)
+            before = left[at]
+            if before >= 0:
+                pair = joins.get(held[before] * base + held[at])
+                rank[before] = pair[0] if pair else -1
+                if pair:
+                    heappush(heap, pair[0] << 32 | before)
+        joined = np.frombuffer(held, np.int64)
+        place = np.flatnonzero(joined >= 0)
+        return place, joined[place], np.diff(place, append=n)
+
     def _encode_units(self, points: np.ndarray, first: np.ndarray, count: np.ndarray):
         """Ids of each unit (all after another), the characters each id covers, ids a unit."""
         chars = _gather(points, first, count).astype(np.int64)
@@ -324,22 +382,21 @@ class Codec:
         count = np.diff(first, append=len(points))
         key = self._unit_keys(points, first, count)
         kinds, example, which = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or len(self.points) > REMEMBERED_CHARS:
             self._forget()
         held = [self.known.get(k, -1) for k in kinds.tolist()]
         held = np.array(held, np.int64)
         missing = np.flatnonzero(held < 0)
         if len(missing):
             pick = example[missing]
-            ids, chars, lens = self._encode_units(points, first[pick], count[pick])
-            start = len(self.ids) + np.cumsum(lens) - lens
-            held[missing] = len(self.lens) + np.arange(len(missing))
+            held[missing] = self._remembered(points, first[pick], count[pick])
             self.known.update(zip(kinds[missing].tolist(), held[missing].tolist(), strict=True))
-            self.ids = np.concatenate([self.ids, ids])
-            self.chars = np.concatenate([self.chars, chars])
-            self.lens = np.concatenate([self.lens, lens])
-            self.starts = np.concatenate([self.starts, start])
         own = held[which.ravel()]
+        # Units that only share the key of a remembered one are encoded by themselves.
+        other = _gather(self.points, self.places[own], count) != points
+        other = np.logical_or.reduceat(other, first) | (self.sizes[own] != count)
+        if other.any():
+            own[other] = self._remembered(points, first[other], count[other])
         ids = _gather(self.ids, self.starts[own], self.lens[own])
         chars = _gather(self.chars, self.starts[own], self.lens[own])
         # Texts begin where units begin, so ids per text follow from characters.
@@ -354,6 +411,17 @@ class Codec:
         lead = np.concatenate([[0], ends[:-1]])
         return ids, per_text, origin[lead + shift[text]], stop
 
+    def _remembered(self, points, first, count) -> np.ndarray:
+        """Where the results of newly encoded units are kept, next to their characters."""
+        ids, chars, lens = self._encode_units(points, first, count)
+        own = len(self.lens) + np.arange(len(first))
+        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(lens) - lens)
+        self.places = np.append(self.places, len(self.points) + np.cumsum(count) - count)
+        self.points = np.append(self.points, _gather(points, first, count))
+        self.ids, self.chars = np.append(self.ids, ids), np.append(self.chars, chars)
+        self.lens, self.sizes = np.append(self.lens, lens), np.append(self.sizes, count)
+        return own
+
     def _unit_keys(self, points, first, count) -> np.ndarray:
         inside = np.arange(len(points)) - np.repeat(first, count)
         powers = np.cumprod(np.full(int(count.max()), 0x9E3779B97F4A7C15, np.uint64))
