@@ -306,9 +306,9 @@ def near_duplicates(
     percent: int = 75,
     piece_tokens: int = PIECE_TOKENS,
 ) -> DataFrame:
-    """One line per row: doc_id, n_shingles, class_size, component_id."""
+    """One line per row: doc_id, n_shingles, component_id, class_size."""
     found = grouped(df, id_col, text_col, size, percent, piece_tokens)
-    return found.select("doc_id", "n_shingles", "class_size", "component_id")
+    return found.select("doc_id", "n_shingles", "component_id", "class_size")
 
 
 def grouped(

@@ -212,7 +212,7 @@ component AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
 classes AS (
     SELECT doc_id, list_sort(list(s)) AS c FROM shingles GROUP BY doc_id),
 class_sizes AS (SELECT c, count(*) AS class_size FROM classes GROUP BY c)
-SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(class_size, 1) AS class_size, component_id
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(class_size, 1) AS class_size
 FROM words w LEFT JOIN sized s ON s.doc_id = w.doc_id
 JOIN component ON x = w.doc_id
 LEFT JOIN classes k ON k.doc_id = w.doc_id LEFT JOIN class_sizes z ON z.c = k.c
