@@ -254,13 +254,76 @@ def test_quality_that_follows_the_source_only(spark):
     assert sum((r.quality_score >= 0.5) == bool(truth[r.doc_id]) for r in later) >= 0.97 * len(later)
 
 
-def test_quality_samples_one_row_of_each_id(spark, monkeypatch):
+def test_quality_starts_from_one_row_of_each_id(spark, monkeypatch):
     rng = random.Random(41)
     rows = [(k, prose(rng, 12), "en", "s", 9) for k in range(40) for _ in range(30)]
     docs = spark.createDataFrame(rows, DOCUMENTS)
-    known = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    # Labels without a row use nothing of the sample up.
+    labels = [(1, 1, 0), (2, 0, 0), *((k, 1, 0) for k in range(100, 150))]
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     seen = []
     learn = quality.cotrained
-    monkeypatch.setattr(quality, "cotrained", lambda v, y: seen.append(y) or learn(v, y))
-    quality.fitted(docs, known, pool=20)
-    assert sorted(y for y in seen[0] if y >= 0) == [0, 1] and 18 <= (seen[0] == -1).sum() <= 20
+    monkeypatch.setattr(quality, "cotrained", lambda v, y, s: seen.append(y) or learn(v, y, s))
+    quality.fitted(docs, known, labelled=2)
+    assert sorted(seen[0]) == [0, 1]
+
+
+def test_quality_rounds_over_all_rows_by_plain_sums(spark):
+    """The weights equal those of one loop in numpy over all rows, however they are dealt out."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").filter("doc_id % 3 <> 0")
+    with_odd = docs.withColumn("id", F.lit("x")).withColumn("label", F.lit(1))
+    (inner, outer), shift = quality.fitted(with_odd.repartition(7), labels)
+    rows = docs.select("doc_id", "text", "lang", "source", "n_chars").toArrow().sort_by("doc_id")
+    batch = rows.combine_chunks().to_batches()[0]
+    text, meta = (np.concatenate(p) for p in zip(*quality._views(batch, "text"), strict=True))
+    text = text.astype(np.float16).astype(float)
+    meta = meta.astype(np.float32).astype(float)
+    known = labels.select("doc_id", "quality").dropna()
+    given = {r.doc_id: int(r.quality > 0) for r in known.collect()}
+    label = np.array([given.get(k, -1) for k in rows["doc_id"].to_pylist()])
+    known, free = np.flatnonzero(label >= 0), np.flatnonzero(label < 0)
+    assert len(known) <= quality.LABELLED and len(free) > 300
+    known = known[np.random.default_rng(5).permutation(len(known))]
+    used = np.unique(quality._named(meta[known]))
+    opened = quality._opened(meta, used)
+    asked = []
+
+    def summed(make):
+        asked.append(1)
+        return sum(make([text[k : k + 1], opened[k : k + 1]]) for k in free)
+
+    want, bias = quality.cotrained([text[known], opened[known]], label[known], summed)
+    assert len(asked) == quality.ROUNDS * (1 + quality.PASSES)
+    assert np.allclose(inner, want[0], atol=1e-5) and abs(shift - bias) < 1e-5
+    places = np.concatenate([np.arange(quality._KINDS), used])
+    assert np.allclose(outer[places], want[1], atol=1e-5)
+    alone, _ = quality.cotrained([text[known], opened[known]], label[known], summed, rounds=0)
+    assert not np.allclose(alone[0], want[0], atol=1e-3)  # the rounds do change the model
+
+
+def test_surest_rows_and_slopes_by_hand():
+    counts = np.zeros(quality.BINS, np.int64)
+    counts[[0, 3, 200, 390]] = 2, 98, 800, 100
+    assert quality.surest(counts) == (3, 390)
+    counts[[0, 3, 200]] = 0, 0, 900  # the lowest rows are not sure
+    assert quality.surest(counts) == (170, 390)
+    views = [np.array([[9.0], [0.0], [-9.0]]), np.array([[1.0], [2.0], [4.0]])]
+    models = [quality.Linear(np.zeros((2, 1)), np.array([0.0, 1.0])) for _ in views]
+    for model, weight in zip(models, (1.0, 0.0), strict=True):
+        model.mean, model.spread, model.bias = np.zeros(1), np.ones(1), 0.0
+        model.weights = np.array([weight])
+    got = quality.slopes(views, models, [(170, 230), (-1, 500)], models)
+    # Only the first view is sure, of its first (good) and third row (bad): errors -1/2 and 1/2.
+    assert got.tolist() == [0, 0, 0, round(1.5 * quality.PART), 0, 2]
+
+
+def test_quality_of_clashing_columns(documents, spark):
+    known = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    odd = documents
+    for name in ("__id", "__label", "__text", "quality", "id", "label", "QUALITY_", "content"):
+        odd = odd.withColumn(name, F.lit(name))
+    plain = quality.good_documents(documents, known)
+    kept = quality.good_documents(odd, known)
+    assert kept.columns == odd.columns and kept.filter("quality <> 'quality'").count() == 0
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in plain.collect())

@@ -74,6 +74,14 @@ def chosen(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, longer by as many underscores as make it unlike every column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def text_key() -> Column:
     """Tells apart the texts of rows that repeat an id."""
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))

@@ -3,22 +3,32 @@
 Two logistic classifiers see different views of a document: the content view has the
 frequencies of its byte trigrams in hashed slots, the metadata view its language, source, stated
 and real length and the layout (lines, word length, shares of character kinds). Both start from
-the labelled rows. In each round each view labels the rows of an unlabelled pool that it is
-surest of, and the other view learns from them. At the end each view is calibrated on labelled
-rows kept aside, and a small logistic model of both calibrated logits scores every document.
-
-The classifiers are fitted on at most ``labelled`` labelled ids and ``pool`` ids of all rows, both
-chosen by a hash of the id, with one row of each; all rows are scored, each from its whole text.
-Several labels of an id count as good only if all are.
+the labelled rows. In each round each view labels the rows without a label that it is surest of,
+wherever they are in the table, and the other view learns from them. At the end each view is
+calibrated on labelled rows kept aside, and a small logistic model of both calibrated logits
+scores every document.
+
+* The start is fitted on at most ``labelled`` labelled ids that have a row, chosen by a hash of
+  the id, with one row of each. Several labels of an id count as good only if all are.
+* All other rows take part in every round. Their views are stored once in the shared scratch
+  folder. A pass counts each model's logits in a histogram, from which follows what the surest
+  ``SHARE`` of the rows are; further passes add up the slopes of the loss over the rows that the
+  other view has labelled so. Whole numbers are added, so the way the rows are dealt out to
+  tasks changes nothing, and only these sums reach the driver. Labelled rows and pseudo-labelled
+  ones have a fixed ratio of weights, whatever their numbers.
 
 Nulls and empty texts have empty views and get a score like any other row; null metadata is a
-value of its own, missing metadata columns count as null. With no labels, or one class only,
-nothing is rejected. Repeated rows are scored one by one. Other columns are kept.
+value of its own, missing metadata columns count as null, and a language or source that no labelled
+row has is neutral. Very long texts are read whole. With no labels, or one class only, nothing is
+rejected. Rows of equal logits get their pseudo-labels together. Repeated rows are scored one by
+one, and each counts in the rounds; an empty table gives no rows. Other columns are kept,
+whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import copy
 from zlib import crc32
 
 import numpy as np
@@ -26,12 +36,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import appended, text_slices
+from tillstar.llm.common import appended, stored, text_slices, unused
 from tillstar.llm.shingles import word_hashes
 
 SLOTS, NAMES = 512, 1024
-LABELLED, POOL = 3_000, 6_000
-ROUNDS, SURE, SHARE = 6, 0.95, 0.05
+LABELLED = 3_000
+ROUNDS, SURE, SHARE = 4, 0.95, 0.1
+# Passes over the pool for slopes in a round, steps after each one, and the pool's weight.
+PASSES, STEPS, PULL = 2, 10, 0.25
+# Logits in the histogram: bins of a tenth from -20 to 20.
+BINS, FINE = 401, 10
+# Slopes of a row are rounded to this part of one; no standardised value counts as more than LARGE.
+PART, LARGE = 2**20, 30.0
 KEEP_FROM = 0.5
 _KINDS = 12
 
@@ -83,18 +99,20 @@ def _slots(values: list[str | None]) -> np.ndarray:
     return np.array([0 if v is None else 1 + crc32(v.encode()) % (NAMES - 1) for v in values])
 
 
-def _opened(view: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Metadata with one column for each slot that occurs, and the weights' places they have."""
-    slots = view[:, _KINDS:].astype(np.int64) + np.array([0, NAMES]) + _KINDS
-    used = np.unique(slots)
+def _named(view: np.ndarray) -> np.ndarray:
+    """The weights' places of each row's language and source."""
+    return view[:, _KINDS:].astype(np.int64) + np.array([0, NAMES]) + _KINDS
+
+
+def _opened(view: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Metadata with one column for each place of ``used``."""
+    slots = _named(view)
     named = (slots[:, :1] == used) | (slots[:, 1:] == used)
-    places = np.concatenate([np.arange(_KINDS), used])
-    return np.concatenate([view[:, :_KINDS], named], axis=1), places
+    return np.concatenate([view[:, :_KINDS], named], axis=1)
 
 
 def _metadata_logits(view: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    slots = view[:, _KINDS:].astype(np.int64) + np.array([0, NAMES]) + _KINDS
-    return view[:, :_KINDS] @ weights[:_KINDS] + weights[slots].sum(axis=1)
+    return view[:, :_KINDS] @ weights[:_KINDS] + weights[_named(view)].sum(axis=1)
 
 
 def metadata(data, offsets, langs, sources, stated) -> np.ndarray:
@@ -104,7 +122,8 @@ def metadata(data, offsets, langs, sources, stated) -> np.ndarray:
     kinds = np.bincount(text * 8 + _KIND[data], minlength=n * 8).reshape(n, 8)
     size = np.diff(offsets)
     blank = (_KIND[data] == 4) | (_KIND[data] == 5)
-    ends = np.append(blank[1:], True) & ~blank
+    # A word ends before a blank and at the end of its text, whatever text comes next.
+    ends = np.append(blank[1:] | (text[1:] != text[:-1]), True)[: len(blank)] & ~blank
     words = np.bincount(text[ends], minlength=n)
     lines = kinds[:, 5] + (size > 0)
     told = np.array([-1 if s is None else s for s in stated], np.float64)
@@ -150,6 +169,24 @@ class Linear:
                 p -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         self.weights, self.bias = both[0], float(both[1][0])
 
+    def scaled(self, x: np.ndarray) -> np.ndarray:
+        return (x - self.mean) / self.spread
+
+    def pulled(self, x, y, pull: np.ndarray, decay: float = 1e-3) -> Linear:
+        """The model after a few steps on ``x`` and the slopes ``pull`` of other rows, its last
+        entry that of the bias."""
+        z, moved = self.scaled(x), copy(self)
+        both = np.append(self.weights, self.bias)
+        m, v = np.zeros_like(both), np.zeros_like(both)
+        for step in range(1, STEPS + 1):
+            miss = 1 / (1 + np.exp(-np.clip(z @ both[:-1] + both[-1], -30, 30))) - y
+            g = np.append(z.T @ miss / len(y) + decay * both[:-1], miss.mean()) + pull
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            both -= 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        moved.weights, moved.bias = both[:-1], float(both[-1])
+        return moved
+
     def logits(self, x: np.ndarray) -> np.ndarray:
         return ((x - self.mean) / self.spread) @ self.weights + self.bias
 
@@ -159,30 +196,68 @@ class Linear:
         return weights, self.bias - float(self.mean @ weights)
 
 
-def cotrained(views: list[np.ndarray], label: np.ndarray, rounds: int = ROUNDS):
-    """(weights of each view, bias) of rows whose label is 0, 1 or -1 for the pool."""
-    known = np.flatnonzero(label >= 0)
-    if not len(known) or label[known].min() == label[known].max():
+def _bins(logits: np.ndarray) -> np.ndarray:
+    return np.rint(np.clip(logits * FINE, -(BINS // 2), BINS // 2)).astype(np.int64) + BINS // 2
+
+
+def histograms(views: list[np.ndarray], models: list[Linear]) -> np.ndarray:
+    """Counts of the logits' bins, of one view after the other."""
+    counts = [
+        np.bincount(_bins(m.logits(v)), minlength=BINS) for m, v in zip(models, views, strict=True)
+    ]
+    return np.concatenate(counts)
+
+
+def surest(counts: np.ndarray) -> tuple[int, int]:
+    """(last bin of sure bad rows, first bin of sure good ones): the ends of the histogram up
+    to ``SHARE`` of the rows, with the bin that reaches it, as far as they are sure."""
+    wanted = max(1.0, SHARE * counts.sum())
+    sure = np.log(SURE / (1 - SURE)) * FINE
+    low = int(np.searchsorted(np.cumsum(counts), wanted))
+    high = BINS - 1 - int(np.searchsorted(np.cumsum(counts[::-1]), wanted))
+    return min(low, BINS // 2 - int(np.ceil(sure))), max(high, BINS // 2 + int(np.ceil(sure)))
+
+
+def slopes(views, teachers: list[Linear], cuts, models: list[Linear]) -> np.ndarray:
+    """Of each view's model the slopes of the loss, in whole parts, summed over the rows that the
+    other view's teacher is sure of; then the slope of the bias and the number of the rows."""
+    out = []
+    for k, (view, model) in enumerate(zip(views, models, strict=True)):
+        other = 1 - k
+        at = _bins(teachers[other].logits(views[other]))
+        low, high = cuts[other]
+        rows = np.flatnonzero((at <= low) | (at >= high))
+        z = np.clip(model.scaled(view[rows]), -LARGE, LARGE)
+        miss = 1 / (1 + np.exp(-np.clip(model.logits(view[rows]), -30, 30))) - (at[rows] >= high)
+        own = np.rint(np.column_stack([z, np.ones(len(rows))]) * miss[:, None] * PART)
+        out += [own.astype(np.int64).sum(axis=0), [len(rows)]]
+    return np.concatenate(out)
+
+
+def cotrained(views: list[np.ndarray], label: np.ndarray, summed, rounds: int = ROUNDS):
+    """(weights of each view, bias) from labelled rows; ``summed(make)`` adds up the whole numbers
+    that ``make(views)`` gives for any part of the unlabelled rows."""
+    known = np.arange(len(label))
+    if not len(known) or label.min() == label.max():
         return [np.zeros(v.shape[1]) for v in views], 50.0
     aside, train = known[::5], np.setdiff1d(known, known[::5])
     if len(np.unique(label[aside])) < 2 or len(np.unique(label[train])) < 2:
         aside = train = known
-    free = np.flatnonzero(label < 0)
-    rows = [train, train]
-    marks = [label[train].astype(float)] * 2
-    models = [Linear(v[train], marks[0]) for v in views]
-    per_round = max(1, int(SHARE * len(free)))
-    for _ in range(rounds if len(free) else 0):
-        given = []
-        for view, model in zip(views, models, strict=True):
-            p = 1 / (1 + np.exp(-np.clip(model.logits(view[free]), -30, 30)))
-            good = np.argsort(-p)[:per_round]
-            bad = np.argsort(p)[:per_round]
-            given.append((free[good[p[good] >= SURE]], free[bad[p[bad] <= 1 - SURE]]))
-        for k, (good, bad) in enumerate(reversed(given)):
-            rows[k] = np.concatenate([train, good, bad])
-            marks[k] = np.concatenate([label[train], np.ones(len(good)), np.zeros(len(bad))])
-            models[k] = Linear(views[k][rows[k]], marks[k])
+    truth = label[train].astype(float)
+    models = [Linear(v[train], truth) for v in views]
+    for _ in range(rounds):
+        teachers = models
+        counts = summed(lambda part, t=teachers: histograms(part, t)).reshape(2, BINS)
+        if not counts.any():
+            break
+        cuts = [surest(c) for c in counts]
+        for _ in range(PASSES):
+            sums = summed(lambda part, t=teachers, c=cuts, m=models: slopes(part, t, c, m))
+            first, second = np.split(sums, [views[0].shape[1] + 2])
+            pulls = [PULL * p[:-1] / PART / max(p[-1], 1) for p in (first, second)]
+            models = [
+                m.pulled(v[train], truth, p) for m, v, p in zip(models, views, pulls, strict=True)
+            ]
     # Each view's logits are calibrated on rows that no view learned from, then combined.
     own = [m.logits(v[aside]) for m, v in zip(models, views, strict=True)]
     calibrated = [Linear(o[:, None], label[aside]) for o in own]
@@ -197,58 +272,92 @@ def cotrained(views: list[np.ndarray], label: np.ndarray, rounds: int = ROUNDS):
     return weights, float(shift)
 
 
+def _matrices(batch) -> list[np.ndarray]:
+    """Both views of stored rows."""
+    kinds = (("content", np.float16, SLOTS + 3), ("metadata", np.float32, _KINDS + 2))
+    return [
+        np.frombuffer(b"".join(batch.column(name).to_pylist()), kind).reshape(-1, n).astype(float)
+        for name, kind, n in kinds
+    ]
+
+
+def stored_views(
+    df: DataFrame, labels: DataFrame, id_col: str, text_col: str, labelled: int
+) -> DataFrame:
+    """(id, label, content, metadata) of all rows, label null but for the labelled sample."""
+    wanted = [c for c in ("lang", "source", "n_chars") if c in df.columns]
+    told = [F.col(f"`{c}`").cast("string" if c != "n_chars" else "long").alias(c) for c in wanted]
+    rows = df.select(
+        F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), *told
+    )
+    known = labels.select(
+        F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("label")
+    ).dropna()
+    known = known.groupBy("id").agg(F.min("label").alias("label"))
+    known = known.join(rows.select("id"), "id", "left_semi")
+    known = known.orderBy(F.xxhash64("id"), "id").limit(labelled)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = 0
+            for text, meta in _views(batch, "text"):
+                part = batch.slice(low, len(text))
+                low += len(text)
+                lists = [
+                    pa.array([r.tobytes() for r in view], pa.binary())
+                    for view in (text.astype(np.float16), meta.astype(np.float32))
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), part.column("label"), *lists],
+                    names=["id", "label", "content", "metadata"],
+                )
+
+    rows = rows.join(F.broadcast(known), "id", "left")
+    return stored(
+        rows.mapInArrow(run, "id long, label int, content binary, metadata binary"), "views"
+    )
+
+
 def fitted(
     df: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     labelled: int = LABELLED,
-    pool: int = POOL,
 ):
-    """Model from bounded samples of labelled rows and of all rows."""
-    ident = F.col(f"`{id_col}`").cast("long")
-    known = labels.select(F.col("doc_id").cast("long").alias("__id"), "quality").dropna()
-    known = known.groupBy("__id").agg(F.min(F.col("quality").cast("int")).alias("__label"))
-    known = known.orderBy(F.xxhash64("__id"), "__id").limit(labelled)
-    some = df.select(ident.alias("__id")).dropna().distinct()
-    some = some.orderBy(F.xxhash64("__id"), "__id").limit(pool)
-    # Each row of a sample is one id, so both samples together are bounded.
-    taken = known.unionByName(some.withColumn("__label", F.lit(-1)))
-    taken = taken.groupBy("__id").agg(F.max("__label").alias("__label"))
-    rows = df.join(F.broadcast(taken), ident == F.col("__id"))
-    wanted = [c for c in ("lang", "source", "n_chars") if c in df.columns]
-    told = [F.col(f"`{c}`").cast("string" if c != "n_chars" else "long").alias(c) for c in wanted]
-    rows = rows.select("__id", "__label", F.col(f"`{text_col}`").alias("__text"), *told)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = list(_views(batch, "__text"))
-            both = [np.concatenate([*p]).astype(np.float32) for p in zip(*parts, strict=True)]
-            lists = [
-                pa.array([r.tobytes() for r in view], pa.binary()) for view in both or [[], []]
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("__id"), batch.column("__label").cast(pa.int32()), *lists],
-                names=["id", "label", "content", "metadata"],
-            )
-
-    rows = rows.mapInArrow(run, "id long, label int, content binary, metadata binary")
+    """Model from a bounded sample of labelled rows and all rows without a label of it."""
+    table = stored_views(df, labels, id_col, text_col, labelled)
     # One row of each id, however many rows repeat it.
     least = F.min(F.struct("label", "content", "metadata")).alias("row")
-    rows = rows.groupBy("id").agg(least).select("id", "row.*").collect()
-    rows.sort(key=lambda r: (r.id, r.content, r.metadata))
+    rows = table.filter("label is not null").groupBy("id").agg(least).select("id", "row.*")
+    rows = rows.toArrow().sort_by("id")
     order = np.random.default_rng(5).permutation(len(rows))
-    label = np.array([r.label for r in rows], np.int64)[order]
-    views = [
-        np.array([np.frombuffer(r[k], np.float32) for r in rows], np.float64).reshape(len(rows), n)[
-            order
-        ]
-        for k, n in ((2, SLOTS + 3), (3, _KINDS + 2))
-    ]
-    told, places = _opened(views[1])
-    (inner, outer), shift = cotrained([views[0], told], label)
+    label = np.clip(rows["label"].to_numpy()[order].astype(np.int64), 0, 1)
+    text, meta = (view[order] for view in _matrices(rows))
+    used = np.unique(_named(meta))
+    pool = table.filter("label is null").select("content", "metadata")
+
+    def summed(make) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = 0
+            for batch in batches:
+                inner, outer = _matrices(batch)
+                total = total + make([inner, _opened(outer, used)])
+            if np.ndim(total):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(total))), pa.array(total)], names=["place", "value"]
+                )
+
+        sums = pool.mapInArrow(run, "place long, value long").groupBy("place").agg(F.sum("value"))
+        sums = sums.toArrow().sort_by("place")
+        if len(sums):
+            return sums.column(1).to_numpy()
+        nothing = [np.zeros((0, text.shape[1])), np.zeros((0, _KINDS + len(used)))]
+        return make(nothing)
+
+    (inner, outer), shift = cotrained([text, _opened(meta, used)], label, summed)
     weights = np.zeros(_KINDS + 2 * NAMES)
-    weights[places] = outer
+    weights[np.concatenate([np.arange(_KINDS), used])] = outer
     return (inner, weights), shift
 
 
@@ -277,5 +386,6 @@ def with_quality(
 
 def good_documents(df: DataFrame, labels: DataFrame, keep_from: float = KEEP_FROM) -> DataFrame:
     """Rows of ``df`` scored ``keep_from`` or better, its columns unchanged."""
-    scored = with_quality(df, labels, out_col="__quality")
-    return scored.filter(F.col("__quality") >= keep_from).drop("__quality")
+    name = unused(df, "quality")
+    scored = with_quality(df, labels, out_col=name)
+    return scored.filter(F.col(name) >= keep_from).drop(name)
