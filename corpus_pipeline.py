@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm import decontaminate, jaccard_join, line_dedup, piece_codec, quality
-from tillstar.llm.common import stored, text_key
+from tillstar.llm.common import stored, text_key, unused
 from tillstar.llm.queries import piece_model, table
 
 
@@ -39,8 +39,9 @@ def jaccard_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """
     found = jaccard_join.grouped(docs)
     others = found.filter("doc_id <> component_id or tag <> first_tag")
-    others = others.select("doc_id", F.col("tag").alias("__tag")).distinct()
-    told = docs.withColumn("__tag", text_key()).join(others, ["doc_id", "__tag"], "left_anti")
+    name = unused(docs, "tag")
+    others = others.select("doc_id", F.col("tag").alias(name)).distinct()
+    told = docs.withColumn(name, text_key()).join(others, ["doc_id", name], "left_anti")
     return told.select(docs.columns).dropDuplicates(["doc_id", "text"])
 
 
