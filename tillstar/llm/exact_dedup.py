@@ -123,6 +123,8 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = listed.groupBy("weak", "v").agg(
         F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
     )
+    # Stored, so that the join deals both sides anew and can split the rows of a large group.
+    groups = stored(groups, "groups")
     return listed.join(groups, ["weak", "v"]).select(
         "doc_id",
         "keep_id",
