@@ -103,3 +103,11 @@ def test_repeats_read_the_keys_once_and_the_rows_once(spark, monkeypatch, name):
     whole = order_lines(registered.queries()[name](spark, FOLDER))
     assert len(whole) == 1
     assert len(scans) == 1 and scans[0] < whole[0] / 2
+
+
+def test_order_lines_are_hash_joined_unsorted(spark):
+    """The lines meet one narrow row per order, customer included, and are not sorted for it."""
+    text = plan(derived.tagged_sales(spark, FOLDER))
+    joins = [x for x in text.splitlines() if "Join [l_orderkey" in x]
+    assert len(joins) == 1 and "ShuffledHashJoin" in joins[0]
+    assert "Sort [l_orderkey" not in text and "Join [o_custkey" in text.split("Join [l_orderkey")[1]
