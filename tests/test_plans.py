@@ -111,3 +111,13 @@ def test_order_lines_are_hash_joined_unsorted(spark):
     joins = [x for x in text.splitlines() if "Join [l_orderkey" in x]
     assert len(joins) == 1 and "ShuffledHashJoin" in joins[0]
     assert "Sort [l_orderkey" not in text and "Join [o_custkey" in text.split("Join [l_orderkey")[1]
+
+
+def test_customers_join_last(spark):
+    """The hashes of a customer are in no shuffled row of the fact."""
+    catalog, tagged = derived.catalog(spark, FOLDER), derived.tagged_sales(spark, FOLDER)
+    customers = star.one_per_customer(star.dim_customer(tagged))
+    df = star.star_enriched(star.fact_sales(tagged), star.dim_product(catalog), customers, False)
+    above = plan(df).split("ShuffledHashJoin [customer_id")[0]
+    assert "email_hash" in above and "Exchange" not in above
+    assert "Exchange hashpartitioning(product_id" in plan(df)

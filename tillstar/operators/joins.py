@@ -135,15 +135,21 @@ def join_spread(
     how: str = "inner",
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Shuffle join on ``key`` with the heavy keys of ``rows`` spread over slices."""
-    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(_WEIGHT))
+    """Shuffle join on ``key`` with the heavy keys of ``rows`` spread over slices.
+
+    ``counted`` has the keys of ``rows`` as often, if they are read there at less cost. With
+    ``hashed`` every task holds its share of ``other``, and the wider ``rows`` are not sorted.
+    """
+    keys = rows if counted is None else counted
+    counts = keys.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(_WEIGHT))
+    counted: DataFrame | None = None,
+    hashed: bool = False,
     heavy = heavy_keys(counts, [key], _WEIGHT, rows_per_slice)
     repeated = _repeat_per_slice(other.join(F.broadcast(heavy), key, "left"), F.col(_SLICES))
-    return (
-        _slice_rows(rows, [key], heavy)
-        .join(repeated.drop(_SLICES), [key, _SLICE], how)
-        .drop(_SLICE)
-    )
+    repeated = repeated.drop(_SLICES)
+    if hashed:
+        repeated = repeated.hint("shuffle_hash")
+    return _slice_rows(rows, [key], heavy).join(repeated, [key, _SLICE], how).drop(_SLICE)
 
 
 def join_dimension(

@@ -219,13 +219,15 @@ def star_enriched(
     Outer on the fact side: a sale without a customer line or a readable date
     stays. ``customers`` must hold one line per id and ``products`` one per
     product. Customers grow with the sales, so they are always shuffled, heavy ids
-    spread; they come first, while the ids can be counted by reading one column.
-    Every day of the fact is in its calendar, so the attributes follow from the day
-    itself and nothing is joined for them.
+    spread; they come last, as their hashes are wider than a sale, and the ids are
+    counted in the fact. Every day of the fact is in its calendar, so the attributes
+    follow from the day itself and nothing is joined for them.
     """
-    known = join_spread(fact, customers, "customer_id", "left")
-    priced = join_dimension(known, products, "product_id", "left", small_catalog)
-    return priced.select("*", *calendar_columns(F.col("transaction_date")))
+    priced = join_dimension(fact, products, "product_id", "left", small_catalog)
+    known = join_spread(priced, customers, "customer_id", "left", counted=fact, hashed=True)
+    keys = ["product_id", "customer_id"]
+    columns = [c for df in (fact, customers, products) for c in df.columns if c not in keys]
+    return known.select(*keys, *columns, *calendar_columns(F.col("transaction_date")))
 
 
 def masked_contacts(sales: DataFrame, keep_original: bool = True) -> DataFrame:
