@@ -121,3 +121,13 @@ def test_customers_join_last(spark):
     above = plan(df).split("ShuffledHashJoin [customer_id")[0]
     assert "email_hash" in above and "Exchange" not in above
     assert "Exchange hashpartitioning(product_id" in plan(df)
+
+
+@pytest.mark.parametrize("name", ["dup_rows", "dup_comparison", "dup_conflicts", "dup_conflict_rows"])
+def test_single_ids_are_dropped_before_the_joins(spark, name):
+    """The semi join reads the order lines and nothing else."""
+    text = plan(registered.queries()[name](spark, FOLDER))
+    below = re.split(r"LeftSemi.*\n", text)[1]
+    assert text.index("[l_partkey") < text.index("LeftSemi")
+    assert "c_name" not in below.split("FileScan")[1]
+    assert "Expand" not in text

@@ -64,15 +64,20 @@ def rows_of_repeated_keys(
 def compare_repeats(df: DataFrame, key: str, store: Store | None = None) -> DataFrame:
     """Per repeated key: its rows, and the distinct known values of every other column.
 
-    Rows become narrow (key, column, value) lines. Where the heaviest key is known to fit one
-    slice, the rows are dealt out by key before that, and nothing else is shuffled. Otherwise
-    the lines are, counted map-side first, so a key with a third of all rows is reduced by then.
+    Where the heaviest key is known to have few rows, those of each key are listed, and only the
+    rows of repeated keys are shuffled, once. Otherwise rows become narrow (key, column, value)
+    lines, which are counted map-side first, so a key with a third of all rows is reduced by then.
     """
     found = counted_repeats(df, key, store)
     repeats = rows_of_repeated_keys(df, key, repeats=found).filter(F.col(key).isNotNull())
-    if found.heaviest is not None and found.heaviest <= ROWS_PER_SLICE:
-        repeats = repeats.repartition(key)
     others = [c for c in df.columns if c != key]
+    if found.heaviest is not None and found.heaviest <= LISTED_ROWS:
+        texts = F.struct(*[as_text(df, c).alias(c) for c in others])
+        listed = repeats.repartition(key).groupBy(key)
+        listed = listed.agg(F.count(F.lit(1)).alias("row_count"), F.collect_list(texts).alias("rows"))
+        return listed.select(
+            key, "row_count", *[_known_values(c).alias(f"{c}_distinct") for c in others]
+        )
     lines = (
         repeats.select(key, *[as_text(repeats, c).alias(c) for c in others])
         .unpivot([key], others, "column", "value")
@@ -91,6 +96,12 @@ def compare_repeats(df: DataFrame, key: str, store: Store | None = None) -> Data
     )
 
 
+def _known_values(column: str) -> Column:
+    """How many values other than null the field takes in the list ``rows``."""
+    values = F.array_compact(F.transform("rows", lambda r: r[column]))
+    return F.size(F.array_distinct(values)).cast("long")
+
+
 def conflicting_repeats(df: DataFrame, key: str, store: Store | None = None) -> DataFrame:
     """The part of ``compare_repeats`` where some other column takes several values."""
     others = [c for c in df.columns if c != key]

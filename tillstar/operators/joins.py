@@ -116,6 +116,9 @@ def keep_matching(
     """
     key = [key] if isinstance(key, str) else list(key)
     if heaviest is not None and heaviest <= rows_per_slice:
+        if len(key) == 1:
+            # A filter, which Spark moves to where the key comes from, below the joins of ``rows``.
+            return rows.filter(F.col(key[0]).isin(keys.select(*key)))
         return rows.join(keys.select(*key), key, "left_semi").select(*rows.columns)
     weighed = keys.select(*key, weight)
     heavy = heavy_keys(weighed, key, weight, rows_per_slice)
@@ -134,6 +137,8 @@ def join_spread(
     key: str,
     how: str = "inner",
     rows_per_slice: int = ROWS_PER_SLICE,
+    counted: DataFrame | None = None,
+    hashed: bool = False,
 ) -> DataFrame:
     """Shuffle join on ``key`` with the heavy keys of ``rows`` spread over slices.
 
@@ -142,8 +147,6 @@ def join_spread(
     """
     keys = rows if counted is None else counted
     counts = keys.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(_WEIGHT))
-    counted: DataFrame | None = None,
-    hashed: bool = False,
     heavy = heavy_keys(counts, [key], _WEIGHT, rows_per_slice)
     repeated = _repeat_per_slice(other.join(F.broadcast(heavy), key, "left"), F.col(_SLICES))
     repeated = repeated.drop(_SLICES)
