@@ -131,3 +131,21 @@ def test_single_ids_are_dropped_before_the_joins(spark, name):
     assert text.index("[l_partkey") < text.index("LeftSemi")
     assert "c_name" not in below.split("FileScan")[1]
     assert "Expand" not in text
+
+
+def test_gates_join_the_transactions_once(spark, monkeypatch):
+    """What is stored first is read by all gates; no other plan reads the order lines."""
+    kept = {}
+
+    def staged(spark, label):
+        def store(df):
+            kept[label] = plan(df)
+            return sinks.materialise(df, sinks.scratch_path(spark, label))
+
+        return store
+
+    monkeypatch.setattr(registered.sinks, "staged", staged)
+    found = registered.queries()["reconcile_counts"](spark, FOLDER)
+    plans = [*kept.values(), plan(found)]
+    assert sum("lineitem.parquet" in p for p in plans) == 1
+    assert "lineitem.parquet" in kept["tagged"] and "p_name" not in kept["tagged"]
