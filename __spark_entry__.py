@@ -102,11 +102,11 @@ def load_gate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _raw_copy(spark: SparkSession, df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
-    """Text of ``df`` after a landing file was written and copied to raw."""
+    """Text of ``df`` after a landing file was written and copied to raw, both compressed."""
     landing = sinks.scratch_path(spark, f"landing-{name}")
     raw = sinks.scratch_path(spark, f"raw-{name}")
-    sinks.write_table(df, landing, "csv")
-    delimited.landing_to_raw(spark, landing, raw, schema)
+    sinks.write_table(df, landing, "csv", compression="gzip")
+    delimited.landing_to_raw(spark, landing, raw, schema, compression="gzip")
     return delimited.read_raw(spark, raw, schema)
 
 

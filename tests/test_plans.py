@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import pytest
 
@@ -149,3 +150,15 @@ def test_gates_join_the_transactions_once(spark, monkeypatch):
     plans = [*kept.values(), plan(found)]
     assert sum("lineitem.parquet" in p for p in plans) == 1
     assert "lineitem.parquet" in kept["tagged"] and "p_name" not in kept["tagged"]
+
+
+@pytest.mark.parametrize("name", ["landing_to_raw_catalog", "landing_to_raw", "contract_violations"])
+def test_scratch_copies_are_compressed(spark, monkeypatch, name):
+    kept = []
+    path = sinks.scratch_path
+    monkeypatch.setattr(registered.sinks, "scratch_path", lambda s, n: kept.append(path(s, n)) or kept[-1])
+    registered.queries()[name](spark, FOLDER)
+    assert len(kept) in (2, 4)
+    for folder in kept:
+        files = [f.name for f in Path(folder).glob("part-*")]
+        assert files and all(f.endswith(".csv.gz") for f in files)

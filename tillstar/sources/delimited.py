@@ -109,6 +109,7 @@ def landing_to_raw(
     raw: str,
     schema: T.StructType,
     multi_line: bool = False,
+    compression: str | None = None,
     **landing_options,
 ) -> None:
     """Copy one landing source to its own raw folder as quoted text.
@@ -116,20 +117,24 @@ def landing_to_raw(
     Nothing is typed or dropped on the way; all values stay text. A landing line that does not
     split is set aside whole, with its readable fields, as JSON in ``unsplit_path(raw)``. The
     copy holds these fields too, in files named after ``UNSPLIT``, so that ``read_raw`` can put
-    the whole lines in their place. The copy runs in as many tasks as the source has splits.
+    the whole lines in their place. The copy runs in as many tasks as the source has splits, and
+    is plain text unless ``compression`` names a codec, such as gzip.
     """
     text = read_text(spark, landing, schema, multi_line, **landing_options)
     broken = F.col(CORRUPT).isNotNull()
-    text.filter(broken).write.mode("overwrite").json(unsplit_path(raw))
-    _write_raw(text.filter(~broken), raw, "overwrite")
+    text.filter(broken).write.mode("overwrite").json(unsplit_path(raw), compression=compression)
+    _write_raw(text.filter(~broken), raw, "overwrite", WHOLE, compression)
     aside = read_unsplit(spark, raw, schema)
     if not aside.isEmpty():
-        _write_raw(aside, raw, "append", UNSPLIT)
+        _write_raw(aside, raw, "append", UNSPLIT, compression)
 
 
-def _write_raw(text: DataFrame, raw: str, mode: str, name: str = WHOLE) -> None:
+def _write_raw(
+    text: DataFrame, raw: str, mode: str, name: str, compression: str | None
+) -> None:
     copy = text.drop(CORRUPT).write.mode(mode).option("mapreduce.output.basename", name)
-    copy.options(**RAW_DIALECT, **KEEP_SPACES, quoteAll=True).csv(raw)
+    copy = copy.options(**RAW_DIALECT, **KEEP_SPACES, quoteAll=True)
+    copy.csv(raw, compression=compression)
 
 
 def unsplit_path(raw: str) -> str:
