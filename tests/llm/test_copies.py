@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from hashlib import sha256
 from zlib import crc32
@@ -283,6 +284,28 @@ def test_line_runs(documents):
         line_dedup.without_repeated_runs(documents, window=9, gram=8)
 
 
+def test_line_shuffles_leave_the_disk(spark, documents):
+    """Only the texts and the starts of their copies are still to be shuffled, by the result."""
+    documents.count()
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        names = disk.getAllBlocks().mkString(" ").split()
+        return {x for x in names if x.startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, own = spark.conf.get(setting), shuffled()
+    found = line_dedup.without_repeated_runs(documents)
+    end = time.monotonic() + 5
+    while shuffled() - own and time.monotonic() < end:  # files are removed in the background
+        time.sleep(0.1)
+    assert not shuffled() - own
+    assert spark.conf.get(setting) == before
+    got = sorted((r.doc_id, r.text or "", r.n_removed) for r in found.collect())
+    assert got == brute_lines(pairs(documents))
+    assert shuffled() - own
+
+
 def test_long_text_and_odd_columns(spark):
     rng = random.Random(9)
     long = prose(rng, 40_000)
