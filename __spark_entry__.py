@@ -201,11 +201,6 @@ def dup_catalog_keys(catalog: DataFrame) -> DataFrame:
     return keys.agg(F.count(F.lit(1)).alias("keys")).withColumn("repeated_keys", repeated)
 
 
-def _stored_fact(spark: SparkSession, folder: str) -> DataFrame:
-    """The fact as a published table, for work that reads it more than once."""
-    return sinks.staged(spark, "fact")(_fact(spark, folder))
-
-
 def ri_orphans(spark: SparkSession, folder: str) -> DataFrame:
     keys = _fact(spark, folder).select("product_id", "customer_id")
     fact = sinks.staged(spark, "fact-keys")(keys)
@@ -219,8 +214,10 @@ def ri_orphans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def star_enriched(spark: SparkSession, folder: str) -> DataFrame:
-    fact = _stored_fact(spark, folder)
+    """The star, each step stored: the shuffles of one are off the disk before the next begins."""
+    fact = sinks.staged_alone(spark, "fact")(_fact(spark, folder))
     customers = star.one_per_customer(star.dim_customer(derived.tagged_sales(spark, folder)))
+    customers = sinks.staged_alone(spark, "customers")(customers)
     catalog = derived.catalog(spark, folder)
     return _shown(
         star.star_enriched(
@@ -228,6 +225,7 @@ def star_enriched(spark: SparkSession, folder: str) -> DataFrame:
             star.dim_product(catalog),
             customers,
             small_catalog=fits_broadcast(catalog),
+            stored=sinks.staged_alone(spark, "priced"),
         )
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from pathlib import Path
 
 import pytest
@@ -124,6 +125,28 @@ def test_customers_join_last(spark):
     assert "Exchange hashpartitioning(product_id" in plan(df)
 
 
+def test_star_shuffles_leave_the_disk(spark, monkeypatch, rows):
+    """What the fact, the customers and the products shuffle is gone before the last join begins."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        names = disk.getAllBlocks().mkString(" ").split()
+        return {x for x in names if x.startswith("shuffle_")}
+
+    monkeypatch.setattr(registered, "fits_broadcast", lambda catalog: False)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, own = spark.conf.get(setting), shuffled()
+    found = registered.queries()["star_enriched"](spark, FOLDER)
+    end = time.monotonic() + 5
+    while shuffled() - own and time.monotonic() < end:  # files are removed in the background
+        time.sleep(0.1)
+    assert not shuffled() - own
+    assert spark.conf.get(setting) == before
+    assert "lineitem" not in plan(found) and plan(found).count("Join") >= 2
+    monkeypatch.undo()
+    assert rows(found) == rows(registered.queries()["star_enriched"](spark, FOLDER))
+
+
 @pytest.mark.parametrize("name", ["dup_rows", "dup_comparison", "dup_conflicts", "dup_conflict_rows"])
 def test_single_ids_are_dropped_before_the_joins(spark, name):
     """The semi join reads the order lines and nothing else."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -213,6 +213,7 @@ def star_enriched(
     products: DataFrame,
     customers: DataFrame,
     small_catalog: bool | None = None,
+    stored: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Every fact row with its product, customer and calendar attributes.
 
@@ -221,9 +222,13 @@ def star_enriched(
     product. Customers grow with the sales, so they are always shuffled, heavy ids
     spread; they come last, as their hashes are wider than a sale, and the ids are
     counted in the fact. Every day of the fact is in its calendar, so the attributes
-    follow from the day itself and nothing is joined for them.
+    follow from the day itself and nothing is joined for them. Where the products are
+    shuffled too, ``stored`` may store the sales with their products, so that the shuffles of
+    the two joins need not be on disk together.
     """
     priced = join_dimension(fact, products, "product_id", "left", small_catalog)
+    if stored and not small_catalog:
+        priced = stored(priced)
     known = join_spread(priced, customers, "customer_id", "left", counted=fact, hashed=True)
     keys = ["product_id", "customer_id"]
     columns = [c for df in (fact, customers, products) for c in df.columns if c not in keys]
