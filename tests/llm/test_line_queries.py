@@ -8,7 +8,8 @@ from hashlib import sha256
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import prose
+import corpus_pipeline
+from tests.llm.conftest import DOCUMENTS, prose
 from tests.llm.test_line_extension import brute_extended
 from tillstar.llm import line_dedup, queries
 
@@ -50,3 +51,12 @@ def test_only_matches_that_can_grow_are_extended(spark):
     assert set(marks(spark, [(s, one, 7) for s in range(90)])) <= {*range(16), *range(74, 90)}
     assert marks(spark, [(s, own, s - 60) for s in range(60, 120, 10)]) == [60, 110]
     assert marks(spark, [(5, two, 9)]) == [5]
+
+
+def test_pipeline_stage_removes_the_ends_of_copied_passages(spark, passages):
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in passages], DOCUMENTS)
+    found = corpus_pipeline.line_dedup_stage(spark, docs, "").collect()
+    expected = [(i, t, len(t)) for i, t, _ in brute_extended(passages)]
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in found) == expected
+    texts = dict(passages)
+    assert not any(set(texts[r.doc_id - 100].split()) & set(r.text.split()) for r in found if r.doc_id >= 100)
